@@ -58,7 +58,7 @@ class _SegmentedTable:
     # -- to be given by the kind of table
     stored: T.StructType
 
-    def _fold(self, rows: DataFrame) -> DataFrame:
+    def fold(self, rows: DataFrame) -> DataFrame:
         raise NotImplementedError
 
     def _as_base(self, rows: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ class _SegmentedTable:
             return None
         whole = run[0] == segments[0]
         merged = Segment(START if whole else run[0].low, run[-1].high)
-        rows = self._as_base(self._merged(run)) if whole else self._fold(self._rows(run))
+        rows = self._as_base(self._merged(run)) if whole else self.fold(self._rows(run))
         self._write(merged, rows)
         return merged
 
@@ -200,7 +200,7 @@ class UpsertTable(_SegmentedTable):
         rows = self._merged(self.segments(as_of)).where(F.col("_touched") > newer_than)
         self._write(Segment(START, as_of), self._as_base(rows))
 
-    def _fold(self, rows: DataFrame) -> DataFrame:
+    def fold(self, rows: DataFrame) -> DataFrame:
         """Several segments' rows as one row per key (a segment has at most one each)."""
         latest = F.max_by(F.struct(*self.spec.values, "_deleted"), "_batch").alias("_latest")
         keyed = rows
@@ -236,7 +236,7 @@ class UpsertTable(_SegmentedTable):
             return self._rows(base)
         changed = self._rows(newer)
         if len(newer) > 1:
-            changed = self._fold(changed)
+            changed = self.fold(changed)
         live = changed.where(~F.col("_deleted"))
         if not base:
             return live
@@ -288,12 +288,12 @@ class SumTable(_SegmentedTable):
         rows = self._merged(self.segments(as_of))
         return rows.where(F.col(self.counter) > 0) if self.positive_only else rows
 
-    def _fold(self, rows: DataFrame) -> DataFrame:
+    def fold(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*self.spec.key).agg(*[F.sum(c).alias(c) for c in self.spec.values])
 
     def _merged(self, segments: list[Segment]) -> DataFrame:
         rows = self._rows(segments)
-        folded = self._fold(rows) if len(segments) > 1 else rows
+        folded = self.fold(rows) if len(segments) > 1 else rows
         return folded.where(F.col(self.counter) != 0)
 
     def _as_base(self, rows: DataFrame) -> DataFrame:

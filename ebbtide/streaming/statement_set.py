@@ -26,6 +26,7 @@ from ebbtide.plans import views
 from ebbtide.sinks.keyed import SumTable, UpsertTable, keyed_changes
 from ebbtide.sources import changelog, topics
 from ebbtide.specs import TableSpec
+from ebbtide.streaming.parallel import together
 
 
 @dataclass
@@ -55,15 +56,15 @@ class StatementSet:
         s = self.settings
         ids = {f.name: f.dataType.simpleString() for f in s.line_items.schema.fields}
         keyed = {"rec_id": ids["rec_id"], "order_id": ids["order_id"]}
-        self.enriched_spec = specs.ENRICHED_LINE_ITEMS.retyped(**keyed)
-        self.anomalies_spec = specs.PRICING_ANOMALIES.retyped(**keyed)
+        enriched = specs.ENRICHED_LINE_ITEMS.retyped(**keyed)
+        anomalies = specs.PRICING_ANOMALIES.retyped(**keyed)
         self.state = {
             "lines": self._state(s.line_items, "order_id"),
             "orders": self._state(s.orders, "order_id"),
             "products": self._state(s.products, "goods_id"),
         }
-        self.enriched = UpsertTable(spark, self._at("enriched_line_items"), self.enriched_spec, "seen_at")
-        self.anomalies = UpsertTable(spark, self._at("pricing_anomalies"), self.anomalies_spec, "detected_at")
+        self.enriched = UpsertTable(spark, self._at("enriched_line_items"), enriched, "seen_at")
+        self.anomalies = UpsertTable(spark, self._at("pricing_anomalies"), anomalies, "detected_at")
         self.categories = SumTable(
             spark, self._at("revenue_by_category"), specs.CATEGORY_TOTALS, "line_items"
         )
@@ -126,60 +127,56 @@ class StatementSet:
             batch.unpersist()
 
     def _apply(self, batch: DataFrame, number: int, topics_at: dict) -> None:
-        s = self.settings
         before = number - 1
         at = F.lit(max(topics_at.values()))
-        for table in self.tables:
-            table.compact(before, s.fan_in)
-        self._expire(before, at)
-
-        cached = []
-
-        def decoded(spec: TableSpec) -> DataFrame | None:
-            if spec.name not in topics_at:
-                return None
-            return topics.decode_topic(batch, spec)
-
-        def net(events: DataFrame | None, spec: TableSpec) -> DataFrame | None:
-            if events is None:
-                return None
-            # Cached so that its real size decides whether it is broadcast
-            # against the state.  Lost blocks are computed again.
-            out = changelog.net_changes(events, spec).persist()
-            out.count()
-            cached.append(out)
-            return out
-
-        events = {"lines": decoded(s.line_items), "orders": decoded(s.orders), "products": decoded(s.products)}
-        spec_of = {"lines": s.line_items, "orders": s.orders, "products": s.products}
-        nets = {name: net(events[name], spec_of[name]) for name in events}
+        together(*[lambda t=t: t.compact(before, self.settings.fan_in) for t in self.tables])
+        together(*[lambda n=n: self._expire(n, before, at) for n in self.state])
+
+        events = {
+            name: topics.decode_topic(batch, table.spec)
+            for name, table in self.state.items()
+            if table.spec.name in topics_at
+        }
+        nets = {n: changelog.net_changes(e, self.state[n].spec).persist() for n, e in events.items()}
         try:
-            # The state before this batch is read by batch number, so writing
-            # the new state first does not disturb it.
-            for name, changed in nets.items():
-                if changed is not None:
-                    self.state[name].write(number, _as_upserts(changed, spec_of[name]), at)
-            old = {n: self._read_state(n, before, at) for n in self.state}
-            new = {n: self._read_state(n, number, at) for n in self.state}
-            delta = {n: None if d is None else changelog.signed_changes(d) for n, d in nets.items()}
-
-            line_products = _line_product_changes(delta, old, new)
-            if line_products:
-                deltas = [views.category_deltas(li, gi) for li, gi in line_products]
-                self.categories.write(number, self.categories._fold(_concat(deltas)))
-                found = S.union(*[views.pricing_anomalies(li, gi) for li, gi in line_products])
-                self.anomalies.write(number, keyed_changes(found, self.anomalies_spec), at)
-            triples = _enriched_changes(delta, old, new)
-            if triples:
-                rows = S.union(*[views.enriched(li, oi, gi) for li, oi, gi in triples])
-                self.enriched.write(number, keyed_changes(rows, self.enriched_spec), at)
-            if events["lines"] is not None:
-                rows = changelog.signed(events["lines"])
-                time = F.col("proc_time") if s.window_on == "proc_time" else F.timestamp_millis("ts_ms")
-                self.windows.write(number, views.window_deltas(rows, time, s.window))
+            # Filling the caches makes their real sizes known, and these decide
+            # whether changes are broadcast against the state.  Lost blocks are
+            # computed again.
+            together(*[net.count for net in nets.values()])
+            # State is read by batch number, so writing the new state first
+            # leaves the old one readable.
+            together(*[lambda n=n: self._write_state(n, number, nets[n], at) for n in nets])
+            self._write_results(number, events, nets, at)
         finally:
-            for df in cached:
-                df.unpersist()
+            for net in nets.values():
+                net.unpersist()
+
+    def _write_state(self, name: str, number: int, net: DataFrame, at: Column) -> None:
+        table = self.state[name]
+        table.write(number, _as_upserts(net, table.spec), at)
+
+    def _write_results(self, number: int, events: dict, nets: dict, at: Column) -> None:
+        old = {n: self._read_state(n, number - 1, at) for n in self.state}
+        new = {n: self._read_state(n, number, at) for n in self.state}
+        delta = {n: changelog.signed_changes(nets[n]) if n in nets else None for n in self.state}
+        jobs = []
+        pairs = _line_product_changes(delta, old, new)
+        if pairs:
+            sums = _concat([views.category_deltas(li, gi) for li, gi in pairs])
+            jobs.append(lambda: self.categories.write(number, self.categories.fold(sums)))
+            found = keyed_changes(S.union(*[views.pricing_anomalies(li, gi) for li, gi in pairs]), self.anomalies.spec)
+            jobs.append(lambda: self.anomalies.write(number, found, at))
+        triples = _enriched_changes(delta, old, new)
+        if triples:
+            rows = S.union(*[views.enriched(li, oi, gi) for li, oi, gi in triples])
+            jobs.append(lambda: self.enriched.write(number, keyed_changes(rows, self.enriched.spec), at))
+        if "lines" in events:
+            lines = changelog.signed(events["lines"])
+            by_read = self.settings.window_on == "proc_time"
+            time = F.col("proc_time") if by_read else F.timestamp_millis("ts_ms")
+            windows = views.window_deltas(lines, time, self.settings.window)
+            jobs.append(lambda: self.windows.write(number, windows))
+        together(*jobs)
 
     # -- expiry
     def _deadline(self, name: str, at: Column) -> Column | None:
@@ -189,13 +186,11 @@ class StatementSet:
     def _read_state(self, name: str, as_of: int, at: Column) -> DataFrame:
         return self.state[name].read(as_of, self._deadline(name, at))
 
-    def _expire(self, before: int, at: Column) -> None:
-        """Drop expired rows from disk whenever compaction has produced a new base."""
-        for name, table in self.state.items():
-            deadline = self._deadline(name, at)
-            segments = table.segments(before)
-            if deadline is not None and len(segments) >= self.settings.fan_in:
-                table.expire(before, deadline)
+    def _expire(self, name: str, before: int, at: Column) -> None:
+        """Drop expired rows from disk once enough batches have piled up."""
+        deadline = self._deadline(name, at)
+        if deadline is not None and len(self.state[name].segments(before)) >= self.settings.fan_in:
+            self.state[name].expire(before, deadline)
 
 
 def _as_upserts(net: DataFrame, spec: TableSpec) -> DataFrame:

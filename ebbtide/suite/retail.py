@@ -8,11 +8,14 @@ orders are deleted after three; parts of size 40 and up move to ``CLEARANCE``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide import specs
-from ebbtide.sources import changelog
+from ebbtide.session import work_dir
+from ebbtide.sources import changelog, topics
 
 # Line-item keys are four columns joined to text, and order keys are bigints.
 LINES = specs.ORDER_GOODS.retyped(rec_id="string", order_id="bigint")
@@ -192,23 +195,60 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole change log as JSON: ``topic, value``, and the time for cutting it into files."""
-    parts = []
-    for spec, events in (
-        (LINES, line_events(spark, sf_dir)),
-        (ORDERS, order_events(spark, sf_dir)),
-        (PRODUCTS, product_events(spark, sf_dir)),
-    ):
-        timed = events.withColumn("at", F.col("ts_ms"))
-        parts.append(changelog.encode(timed, spec).select(F.lit(spec.name).alias("topic"), "value", "at"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+_logs: dict[tuple[str, str], ChangeLog] = {}
+
+
+@dataclass(frozen=True)
+class ChangeLog:
+    """The change log as topic files, ``<path>/period=<p>/topic=<name>/``, written in order of time.
+
+    A period is two years, named after the even one.
+    """
+
+    spark: SparkSession
+    path: str
+    periods: tuple[int, ...]
+
+    def period(self, period: int, spec: specs.TableSpec) -> DataFrame:
+        changes = topics.file_changes(self.spark, f"{self.path}/period={period}", streaming=False)
+        return topics.decode_topic(changes, spec)
+
+
+def log(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Derive the change log of the given tables, once per session and folder.
+
+    Events of one period are spread over files by key, so that all events of a
+    key in that period sit in one file, as a topic would hold them in one
+    partition.
+    """
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _logs:
+        root = work_dir(spark, "change-log")
+        encoded = None
+        for spec, events in (
+            (LINES, line_events(spark, sf_dir)),
+            (ORDERS, order_events(spark, sf_dir)),
+            (PRODUCTS, product_events(spark, sf_dir)),
+        ):
+            key = F.coalesce(f"after.{spec.key[0]}", f"before.{spec.key[0]}").cast("string")
+            year = F.year(at_time())
+            tagged = events.withColumn("key", key).withColumn("period", year - F.pmod(year, F.lit(2)))
+            part = changelog.encode(tagged, spec).withColumn("topic", F.lit(spec.name))
+            encoded = part if encoded is None else encoded.unionByName(part)
+        encoded.repartition("period", "key").write.partitionBy("period").parquet(f"{root}/staged")
+        staged = spark.read.parquet(f"{root}/staged")
+        periods = tuple(r["period"] for r in staged.select("period").distinct().orderBy("period").collect())
+        for period in periods:
+            rows = staged.where(F.col("period") == period).repartition("key")
+            topics.write_changes(rows, f"{root}/topics/period={period}")
+        _logs[run] = ChangeLog(spark, f"{root}/topics", periods)
+    return _logs[run]
 
 
 def decoded(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:
-    """One topic of the log after a round trip through its JSON form."""
-    events = {LINES.name: line_events, ORDERS.name: order_events, PRODUCTS.name: product_events}[spec.name]
-    return changelog.decode(changelog.encode(events(spark, sf_dir), spec), spec)
+    """The events of one topic."""
+    changes = topics.file_changes(spark, log(spark, sf_dir).path, streaming=False)
+    return topics.decode_topic(changes, spec)
 
 
 def signed(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:

@@ -22,19 +22,17 @@ _runs: dict[tuple[str, str], StatementSet] = {}
 def finished_job(spark: SparkSession, d: str) -> StatementSet:
     """The statement set after it has consumed the whole log, once per session and folder.
 
-    The log is written as topic files ordered by time and read back as a stream,
-    a few files per micro-batch.
+    The topic files are read back as a stream, in four or five micro-batches.
     """
     run = (spark.sparkContext.applicationId, d)
     if run not in _runs:
-        root = work_dir(spark, "statement-set")
-        ordered = R.log(spark, d).repartitionByRange(4, "at")
-        topics.write_changes(ordered, f"{root}/topics")
+        log = R.log(spark, d)
+        files = len(topics.file_changes(spark, log.path, streaming=False).inputFiles())
         settings = Settings(
             window_on="event_time", fan_in=3, line_items=R.LINES, orders=R.ORDERS, products=R.PRODUCTS
         )
-        job = StatementSet(spark, f"{root}/job", settings)
-        stream = topics.file_changes(spark, f"{root}/topics", maxFilesPerTrigger="6")
+        job = StatementSet(spark, work_dir(spark, "statement-set"), settings)
+        stream = topics.file_changes(spark, log.path, maxFilesPerTrigger=str(max(1, files // 4)))
         job.start(stream, drain=True).awaitTermination()
         _runs[run] = job
     return _runs[run]
@@ -63,35 +61,32 @@ def streamed_pricing_anomalies(spark: SparkSession, d: str) -> DataFrame:
     return finished_job(spark, d).read("pricing_anomalies").drop("detected_at")
 
 
-def _yearly(events: DataFrame) -> list[tuple[int, DataFrame]]:
-    """The log cut into one batch per year of change."""
-    year = F.year(R.at_time())
-    years = [r["y"] for r in events.select(year.alias("y")).distinct().orderBy("y").collect()]
-    return [(y, events.where(year == y)) for y in years]
-
-
 @query(
     "upserted_line_items",
     R.SQL + """SELECT rec_id, order_id, goods_id, goods_price, deal_price, goods_number,
-  date_trunc('year', ts) AS seen_at FROM li2""",
+  make_timestamp(year(ts) - year(ts) % 2, 1, 1, 0, 0, 0) AS seen_at FROM li2""",
 )
 def upserted_line_items(spark: SparkSession, d: str) -> DataFrame:
-    """The keyed sink, fed year by year; each row keeps the time it was first seen."""
+    """The keyed sink, fed period by period; each row keeps the time it was first seen."""
     sink = UpsertTable(spark, work_dir(spark, "upserts"), R.LINES, first_seen="seen_at")
     sink.create_if_absent()
-    for year, events in _yearly(R.line_events(spark, d)):
-        at = F.expr(f"make_timestamp({year}, 1, 1, 0, 0, 0)")
-        sink.write(year, keyed_changes(changelog.signed(events), R.LINES), at)
-        sink.compact(year - 1, fan_in=3)
+    log = R.log(spark, d)
+    for period in log.periods:
+        events = log.period(period, R.LINES)
+        at = F.expr(f"make_timestamp({period}, 1, 1, 0, 0, 0)")
+        sink.write(period, keyed_changes(changelog.signed(events), R.LINES), at)
+        sink.compact(period - 1, fan_in=3)
     return sink.read().withColumn("seen_at", F.col("seen_at").cast("timestamp_ntz"))
 
 
 @query("accumulated_category_revenue", R.SQL + CATEGORY_SQL.format(li="li2", gi="gi"))
 def accumulated_category_revenue(spark: SparkSession, d: str) -> DataFrame:
-    """Running totals, fed year by year with signed sums."""
+    """Running totals, fed period by period with signed sums."""
     sink = SumTable(spark, work_dir(spark, "totals"), specs.CATEGORY_TOTALS, "line_items")
     sink.create_if_absent()
-    for year, events in _yearly(R.line_events(spark, d)):
-        sink.write(year, views.category_deltas(changelog.signed(events), R.products(spark, d)))
-        sink.compact(year - 1, fan_in=3)
+    log = R.log(spark, d)
+    for period in log.periods:
+        events = log.period(period, R.LINES)
+        sink.write(period, views.category_deltas(changelog.signed(events), R.products(spark, d)))
+        sink.compact(period - 1, fan_in=3)
     return rounded(views.published(sink.read()), "revenue")
