@@ -17,7 +17,8 @@ from ebbtide import specs
 from ebbtide.session import work_dir
 from ebbtide.sources import changelog, topics
 
-# Line-item keys are four columns joined to text, and order keys are bigints.
+# Line-items have no key of their own: five columns joined to text identify them.
+# Order keys are bigints.
 LINES = specs.ORDER_GOODS.retyped(rec_id="string", order_id="bigint")
 ORDERS = specs.ORDER_INFO.retyped(order_id="bigint", user_id="bigint")
 PRODUCTS = specs.GOODS_INFO
@@ -30,7 +31,7 @@ CATALOG_MOVE = "1999-01-01"
 # The same tables in SQL: ``li, oi, gi`` as they are at first and
 # ``li2, oi2, gi2`` after the whole change log.
 SQL = f"""WITH li AS (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS rec_id,
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE)) AS rec_id,
          l_orderkey AS order_id, l_partkey AS goods_id,
          l_extendedprice / l_quantity AS goods_price,
          l_extendedprice / l_quantity * (1 - l_discount) * (1 + l_tax) AS deal_price,
@@ -91,7 +92,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``order_goods``, with the ship date as ``ts`` and the two status flags."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("rec_id"),
+        F.concat_ws(
+            "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date")
+        ).alias("rec_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("goods_id"),
         price.alias("goods_price"),

@@ -1,0 +1,88 @@
+"""A small hand-made change log with known results."""
+
+import json
+
+from ebbtide.specs import GOODS_INFO, ORDER_GOODS, ORDER_INFO
+
+CLOCK = 1_700_000_000_000
+
+
+def line(rec_id, order_id, goods_id, goods_price, deal_price, goods_number):
+    return dict(zip(ORDER_GOODS.columns, (rec_id, order_id, goods_id, goods_price, deal_price, goods_number)))
+
+
+def order(order_id, country="US", amount=10.0):
+    return dict(zip(ORDER_INFO.columns, (order_id, 1, country, "10001", amount, 19723, 2024)))
+
+
+def product(goods_id, category, brand="acme"):
+    return dict(zip(GOODS_INFO.columns, (goods_id, f"item {goods_id}", brand, category, None)))
+
+
+class Log:
+    """Collects events as (topic, JSON) in order."""
+
+    def __init__(self):
+        self.events = []
+
+    def add(self, spec, op, before=None, after=None, at=None):
+        seq = len(self.events)
+        at = CLOCK + seq * 1000 if at is None else at
+        event = {"before": before, "after": after, "op": op, "ts_ms": at, "seq": seq}
+        self.events.append((spec.name, json.dumps(event)))
+        return self
+
+    def insert(self, spec, row, **k):
+        return self.add(spec, "c", None, row, **k)
+
+    def update(self, spec, old, new, **k):
+        return self.add(spec, "u", old, new, **k)
+
+    def delete(self, spec, row, **k):
+        return self.add(spec, "d", row, None, **k)
+
+    def df(self, spark, events=None):
+        return spark.createDataFrame(self.events if events is None else events, "topic STRING, value STRING")
+
+
+def basic():
+    """Ends with category food (1 line, 18.0) and games (1 line, 8.0)."""
+    one, two, three = line(1, 10, 5, 10.0, 12.0, 2), line(2, 10, 5, 10.0, 8.0, 1), line(3, 11, 6, 10.0, 8.0, 1)
+    log = Log()
+    log.insert(GOODS_INFO, product(5, "food")).insert(GOODS_INFO, product(6, "toys", "bolt"))
+    log.insert(ORDER_INFO, order(10)).insert(ORDER_INFO, order(11, "CA"))
+    for row in (one, two, three):
+        log.insert(ORDER_GOODS, row)
+    log.delete(ORDER_GOODS, two)
+    log.update(ORDER_GOODS, one, {**one, "deal_price": 9.0})
+    log.update(GOODS_INFO, product(6, "toys", "bolt"), product(6, "games", "bolt"))
+    return log
+
+
+def rich():
+    """Adds NULLs, equal prices, a changed join key, and deletions across tables."""
+    log = basic()
+    unknown, unpriced = line(4, 12, 7, 10.0, 11.0, 1), line(5, 12, 5, 10.0, None, 1)
+    equal, moved = line(6, 11, 5, 10.0, 10.0, 3), line(7, 10, 6, 5.0, 7.5, 2)
+    log.insert(ORDER_GOODS, unknown).insert(ORDER_GOODS, unpriced)
+    log.insert(GOODS_INFO, product(7, None))
+    log.insert(ORDER_INFO, order(12, "MX"))
+    log.insert(ORDER_GOODS, equal).insert(ORDER_GOODS, moved)
+    log.update(ORDER_GOODS, moved, {**moved, "order_id": 12, "goods_id": 5})
+    log.insert(ORDER_INFO, order(13)).insert(ORDER_GOODS, line(8, 13, 5, 1.0, 2.0, 1))
+    log.delete(ORDER_INFO, order(13)).delete(ORDER_GOODS, line(8, 13, 5, 1.0, 2.0, 1))
+    log.update(ORDER_INFO, order(11, "CA"), order(11, "CA", 99.0))
+    log.update(ORDER_INFO, order(10), order(10, "FR"))
+    return log
+
+
+ENRICHED = [
+    (1, 10, "FR", "acme", "food", 9.0, 2),
+    (3, 11, "CA", "bolt", "games", 8.0, 1),
+    (4, 12, "MX", "acme", None, 11.0, 1),
+    (5, 12, "MX", "acme", "food", None, 1),
+    (6, 11, "CA", "acme", "food", 10.0, 3),
+    (7, 12, "MX", "acme", "food", 7.5, 2),
+]
+CATEGORIES = [("food", 4, 63.0), ("games", 1, 8.0), (None, 1, 11.0)]
+ANOMALIES = [(4, 12, "acme", 10.0, 11.0, 1), (7, 12, "acme", 5.0, 7.5, 2)]
