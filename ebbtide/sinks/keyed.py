@@ -61,7 +61,7 @@ class _SegmentedTable:
     def fold(self, rows: DataFrame) -> DataFrame:
         raise NotImplementedError
 
-    def _as_base(self, rows: DataFrame) -> DataFrame:
+    def _as_base(self, rows: DataFrame, newer_than: Column | None = None) -> DataFrame:
         raise NotImplementedError
 
     # -- segments
@@ -93,12 +93,16 @@ class _SegmentedTable:
             return self.spark.createDataFrame([], self.stored)
         return self.spark.read.schema(self.stored).parquet(*[f"{self.path}/{s.name}" for s in segments])
 
-    def compact(self, as_of: int, fan_in: int = 8, ratio: int = 4) -> Segment | None:
+    def compact(
+        self, as_of: int, fan_in: int = 8, ratio: int = 4, newer_than: Column | None = None
+    ) -> Segment | None:
         """Fold the newest run of at least ``fan_in`` segments of similar size.
 
         A run grows backwards while the next older segment is at most ``ratio``
         times as large as the run so far.  ``as_of`` must be a batch that will not
-        run again: inside a stream, the one before the current.
+        run again: inside a stream, the one before the current.  A run that
+        reaches the oldest segment becomes the new base, without deletions and
+        without rows that were last touched at ``newer_than`` or before.
         """
         if fan_in < 2:
             raise ValueError("fan_in must be at least 2")
@@ -116,7 +120,7 @@ class _SegmentedTable:
             return None
         whole = run[0] == segments[0]
         merged = Segment(START if whole else run[0].low, run[-1].high)
-        rows = self._as_base(self._merged(run)) if whole else self.fold(self._rows(run))
+        rows = self._as_base(self._merged(run), newer_than) if whole else self.fold(self._rows(run))
         self._write(merged, rows)
         return merged
 
@@ -193,13 +197,6 @@ class UpsertTable(_SegmentedTable):
             columns.append(F.col("_first").alias(self.first_seen))
         return rows.select(*columns)
 
-    def expire(self, as_of: int, newer_than: Column) -> None:
-        """Rewrite the table as one base without the expired rows."""
-        if Segment(START, as_of) in self.segments(as_of):
-            return
-        rows = self._merged(self.segments(as_of)).where(F.col("_touched") > newer_than)
-        self._write(Segment(START, as_of), self._as_base(rows))
-
     def fold(self, rows: DataFrame) -> DataFrame:
         """Several segments' rows as one row per key (a segment has at most one each)."""
         latest = F.max_by(F.struct(*self.spec.values, "_deleted"), "_batch").alias("_latest")
@@ -220,7 +217,9 @@ class UpsertTable(_SegmentedTable):
             folded.select(*self.spec.key, "_latest.*", "_reset", "_first", "_touched", "_batch").select(*self.stored.names)
         )
 
-    def _as_base(self, rows: DataFrame) -> DataFrame:
+    def _as_base(self, rows: DataFrame, newer_than: Column | None = None) -> DataFrame:
+        if newer_than is not None:
+            rows = rows.where(F.col("_touched") > newer_than)
         return self._ordered(rows.withColumn("_deleted", F.lit(False)).withColumn("_reset", F.lit(False)))
 
     def _merged(self, segments: list[Segment]) -> DataFrame:
@@ -296,7 +295,7 @@ class SumTable(_SegmentedTable):
         folded = self.fold(rows) if len(segments) > 1 else rows
         return folded.where(F.col(self.counter) != 0)
 
-    def _as_base(self, rows: DataFrame) -> DataFrame:
+    def _as_base(self, rows: DataFrame, newer_than: Column | None = None) -> DataFrame:
         return rows
 
 

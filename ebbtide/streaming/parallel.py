@@ -6,9 +6,10 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 
-def together(*jobs: Callable[[], object]) -> list:
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Submit independent jobs at once and wait for all; the first failure is raised.
 
     Small jobs then share the cluster instead of queueing behind each other.
@@ -17,5 +18,5 @@ def together(*jobs: Callable[[], object]) -> list:
     if not jobs:
         return []
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [r.result() for r in running]

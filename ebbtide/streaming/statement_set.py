@@ -13,8 +13,9 @@ from the same inputs.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,8 +130,13 @@ class StatementSet:
     def _apply(self, batch: DataFrame, number: int, topics_at: dict) -> None:
         before = number - 1
         at = F.lit(max(topics_at.values()))
-        together(*[lambda t=t: t.compact(before, self.settings.fan_in) for t in self.tables])
-        together(*[lambda n=n: self._expire(n, before, at) for n in self.state])
+        results = (self.enriched, self.anomalies, self.categories, self.windows)
+        fan_in = self.settings.fan_in
+        together(
+            self.spark,
+            *[lambda n=n: self.state[n].compact(before, fan_in, newer_than=self._deadline(n, at)) for n in self.state],
+            *[lambda t=t: t.compact(before, fan_in) for t in results],
+        )
 
         events = {
             name: topics.decode_topic(batch, table.spec)
@@ -142,10 +148,10 @@ class StatementSet:
             # Filling the caches makes their real sizes known, and these decide
             # whether changes are broadcast against the state.  Lost blocks are
             # computed again.
-            together(*[net.count for net in nets.values()])
+            together(self.spark, *[net.count for net in nets.values()])
             # State is read by batch number, so writing the new state first
             # leaves the old one readable.
-            together(*[lambda n=n: self._write_state(n, number, nets[n], at) for n in nets])
+            together(self.spark, *[lambda n=n: self._write_state(n, number, nets[n], at) for n in nets])
             self._write_results(number, events, nets, at)
         finally:
             for net in nets.values():
@@ -156,9 +162,10 @@ class StatementSet:
         table.write(number, _as_upserts(net, table.spec), at)
 
     def _write_results(self, number: int, events: dict, nets: dict, at: Column) -> None:
-        old = {n: self._read_state(n, number - 1, at) for n in self.state}
-        new = {n: self._read_state(n, number, at) for n in self.state}
-        delta = {n: changelog.signed_changes(nets[n]) if n in nets else None for n in self.state}
+        # Only the state that the changes of this batch meet is read at all.
+        old = cache(lambda name: self._read_state(name, number - 1, at))
+        new = cache(lambda name: self._read_state(name, number, at))
+        delta = {name: changelog.signed_changes(net) for name, net in nets.items()}
         jobs = []
         pairs = _line_product_changes(delta, old, new)
         if pairs:
@@ -176,7 +183,7 @@ class StatementSet:
             time = F.col("proc_time") if by_read else F.timestamp_millis("ts_ms")
             windows = views.window_deltas(lines, time, self.settings.window)
             jobs.append(lambda: self.windows.write(number, windows))
-        together(*jobs)
+        together(self.spark, *jobs)
 
     # -- expiry
     def _deadline(self, name: str, at: Column) -> Column | None:
@@ -186,12 +193,6 @@ class StatementSet:
     def _read_state(self, name: str, as_of: int, at: Column) -> DataFrame:
         return self.state[name].read(as_of, self._deadline(name, at))
 
-    def _expire(self, name: str, before: int, at: Column) -> None:
-        """Drop expired rows from disk once enough batches have piled up."""
-        deadline = self._deadline(name, at)
-        if deadline is not None and len(self.state[name].segments(before)) >= self.settings.fan_in:
-            self.state[name].expire(before, deadline)
-
 
 def _as_upserts(net: DataFrame, spec: TableSpec) -> DataFrame:
     columns = [F.col(k) if k in spec.key else F.col(f"after.{k}").alias(k) for k in spec.columns]
@@ -205,27 +206,29 @@ def _concat(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _line_product_changes(delta: dict, old: dict, new: dict) -> list[tuple[DataFrame, DataFrame]]:
+def _line_product_changes(delta: dict, old: Callable, new: Callable) -> list[tuple[DataFrame, DataFrame]]:
     """What changes in lines x products, as pairs to join.
 
     Tables without changes in this batch add no pair, so the state of the lines
     is only scanned when an order or a product did change.
     """
     pairs = []
-    if delta["lines"] is not None:
-        pairs.append((delta["lines"], old["products"]))
-    if delta["products"] is not None:
-        pairs.append((new["lines"], delta["products"]))
+    if "lines" in delta:
+        pairs.append((delta["lines"], old("products")))
+    if "products" in delta:
+        pairs.append((new("lines"), delta["products"]))
     return pairs
 
 
-def _enriched_changes(delta: dict, old: dict, new: dict) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
+def _enriched_changes(
+    delta: dict, old: Callable, new: Callable
+) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
     """What changes in lines x orders x products, as triples to join."""
     triples = []
-    if delta["lines"] is not None:
-        triples.append((delta["lines"], old["orders"], old["products"]))
-    if delta["orders"] is not None:
-        triples.append((new["lines"], delta["orders"], old["products"]))
-    if delta["products"] is not None:
-        triples.append((new["lines"], new["orders"], delta["products"]))
+    if "lines" in delta:
+        triples.append((delta["lines"], old("orders"), old("products")))
+    if "orders" in delta:
+        triples.append((new("lines"), delta["orders"], old("products")))
+    if "products" in delta:
+        triples.append((new("lines"), new("orders"), delta["products"]))
     return triples
