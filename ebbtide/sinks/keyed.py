@@ -57,6 +57,7 @@ class _SegmentedTable:
 
     # -- to be given by the kind of table
     stored: T.StructType
+    sort_by: str | None = None
 
     def fold(self, rows: DataFrame) -> DataFrame:
         raise NotImplementedError
@@ -85,6 +86,8 @@ class _SegmentedTable:
 
     def _write(self, segment: Segment, rows: DataFrame) -> None:
         self.folder.revoke(segment.name)
+        if self.sort_by:
+            rows = rows.sortWithinPartitions(self.sort_by)
         rows.select(*self.stored.names).write.mode("overwrite").parquet(f"{self.path}/{segment.name}")
         self.folder.commit(segment.name)
 
@@ -170,7 +173,7 @@ class UpsertTable(_SegmentedTable):
             at.cast("timestamp").alias("_touched"),
             F.lit(START).cast("bigint").alias("_batch"),
         )
-        self._write(Segment(START, START), self._ordered(base))
+        self._write(Segment(START, START), base)
 
     def write(self, batch: int, changes: DataFrame, at: Column) -> None:
         """Write batch ``batch``: one row per key with ``_deleted`` true or false."""
@@ -182,10 +185,7 @@ class UpsertTable(_SegmentedTable):
             at.cast("timestamp").alias("_touched"),
             F.lit(batch).cast("bigint").alias("_batch"),
         )
-        self._write(Segment(batch, batch), self._ordered(rows))
-
-    def _ordered(self, rows: DataFrame) -> DataFrame:
-        return rows.sortWithinPartitions(self.sort_by) if self.sort_by else rows
+        self._write(Segment(batch, batch), rows)
 
     def read(self, as_of: int | None = None, newer_than: Column | None = None) -> DataFrame:
         """The table after batch ``as_of``; rows not touched after ``newer_than`` have expired."""
@@ -213,14 +213,13 @@ class UpsertTable(_SegmentedTable):
             F.max("_touched").alias("_touched"),
             F.max("_batch").alias("_batch"),
         )
-        return self._ordered(
-            folded.select(*self.spec.key, "_latest.*", "_reset", "_first", "_touched", "_batch").select(*self.stored.names)
-        )
+        flat = folded.select(*self.spec.key, "_latest.*", "_reset", "_first", "_touched", "_batch")
+        return flat.select(*self.stored.names)
 
     def _as_base(self, rows: DataFrame, newer_than: Column | None = None) -> DataFrame:
         if newer_than is not None:
             rows = rows.where(F.col("_touched") > newer_than)
-        return self._ordered(rows.withColumn("_deleted", F.lit(False)).withColumn("_reset", F.lit(False)))
+        return rows.withColumn("_deleted", F.lit(False)).withColumn("_reset", F.lit(False))
 
     def _merged(self, segments: list[Segment]) -> DataFrame:
         """Live rows of the segments.

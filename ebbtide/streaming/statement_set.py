@@ -30,6 +30,10 @@ from ebbtide.specs import TableSpec
 from ebbtide.streaming.parallel import together
 
 
+# The columns on which each table meets the others.
+JOIN_COLUMNS = {"lines": ("order_id", "goods_id"), "orders": ("order_id",), "products": ("goods_id",)}
+
+
 @dataclass
 class Settings:
     """``ttl`` gives the idle time after which source rows leave the join state, as an
@@ -145,14 +149,15 @@ class StatementSet:
         }
         nets = {n: changelog.net_changes(e, self.state[n].spec).persist() for n, e in events.items()}
         try:
-            # Filling the caches makes their real sizes known, and these decide
-            # whether changes are broadcast against the state.  Lost blocks are
-            # computed again.
-            together(self.spark, *[net.count for net in nets.values()])
+            # This fills the caches, which makes their real sizes known: these
+            # decide whether changes are broadcast against the state.  Lost
+            # blocks are computed again.
+            found = together(self.spark, *[lambda n=n: _key_ranges(nets[n], JOIN_COLUMNS[n]) for n in nets])
+            ranges = dict(zip(nets, found))
             # State is read by batch number, so writing the new state first
             # leaves the old one readable.
             together(self.spark, *[lambda n=n: self._write_state(n, number, nets[n], at) for n in nets])
-            self._write_results(number, events, nets, at)
+            self._write_results(number, events, nets, ranges, at)
         finally:
             for net in nets.values():
                 net.unpersist()
@@ -161,19 +166,19 @@ class StatementSet:
         table = self.state[name]
         table.write(number, _as_upserts(net, table.spec), at)
 
-    def _write_results(self, number: int, events: dict, nets: dict, at: Column) -> None:
+    def _write_results(self, number: int, events: dict, nets: dict, ranges: dict, at: Column) -> None:
         # Only the state that the changes of this batch meet is read at all.
         old = cache(lambda name: self._read_state(name, number - 1, at))
         new = cache(lambda name: self._read_state(name, number, at))
         delta = {name: changelog.signed_changes(net) for name, net in nets.items()}
         jobs = []
-        pairs = _line_product_changes(delta, old, new)
+        pairs = _line_product_changes(delta, old, new, ranges)
         if pairs:
             sums = _concat([views.category_deltas(li, gi) for li, gi in pairs])
             jobs.append(lambda: self.categories.write(number, self.categories.fold(sums)))
             found = keyed_changes(S.union(*[views.pricing_anomalies(li, gi) for li, gi in pairs]), self.anomalies.spec)
             jobs.append(lambda: self.anomalies.write(number, found, at))
-        triples = _enriched_changes(delta, old, new)
+        triples = _enriched_changes(delta, old, new, ranges)
         if triples:
             rows = S.union(*[views.enriched(li, oi, gi) for li, oi, gi in triples])
             jobs.append(lambda: self.enriched.write(number, keyed_changes(rows, self.enriched.spec), at))
@@ -206,7 +211,28 @@ def _concat(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _line_product_changes(delta: dict, old: Callable, new: Callable) -> list[tuple[DataFrame, DataFrame]]:
+def _key_ranges(net: DataFrame, columns: tuple[str, ...]) -> dict[str, tuple]:
+    """The lowest and highest value of each join column among the changes."""
+    ends = net.agg(
+        *[F.min(F.least(f"before.{c}", f"after.{c}")).alias(f"low_{c}") for c in columns],
+        *[F.max(F.greatest(f"before.{c}", f"after.{c}")).alias(f"high_{c}") for c in columns],
+    ).first()
+    return {c: (ends[f"low_{c}"], ends[f"high_{c}"]) for c in columns}
+
+
+def _within(state: DataFrame, column: str, changes: dict[str, tuple]) -> DataFrame:
+    """State that can match the changes at all.
+
+    State files are sorted by their join column and ids mostly grow with time,
+    so this range lets the scan skip the row groups of old orders.
+    """
+    low, high = changes[column]
+    return state.where(F.col(column).between(low, high)) if low is not None else state.where(F.lit(False))
+
+
+def _line_product_changes(
+    delta: dict, old: Callable, new: Callable, ranges: dict
+) -> list[tuple[DataFrame, DataFrame]]:
     """What changes in lines x products, as pairs to join.
 
     Tables without changes in this batch add no pair, so the state of the lines
@@ -214,21 +240,24 @@ def _line_product_changes(delta: dict, old: Callable, new: Callable) -> list[tup
     """
     pairs = []
     if "lines" in delta:
-        pairs.append((delta["lines"], old("products")))
+        pairs.append((delta["lines"], _within(old("products"), "goods_id", ranges["lines"])))
     if "products" in delta:
-        pairs.append((new("lines"), delta["products"]))
+        pairs.append((_within(new("lines"), "goods_id", ranges["products"]), delta["products"]))
     return pairs
 
 
 def _enriched_changes(
-    delta: dict, old: Callable, new: Callable
+    delta: dict, old: Callable, new: Callable, ranges: dict
 ) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
     """What changes in lines x orders x products, as triples to join."""
     triples = []
     if "lines" in delta:
-        triples.append((delta["lines"], old("orders"), old("products")))
+        orders = _within(old("orders"), "order_id", ranges["lines"])
+        triples.append((delta["lines"], orders, _within(old("products"), "goods_id", ranges["lines"])))
     if "orders" in delta:
-        triples.append((new("lines"), delta["orders"], old("products")))
+        lines = _within(new("lines"), "order_id", ranges["orders"])
+        triples.append((lines, delta["orders"], old("products")))
     if "products" in delta:
-        triples.append((new("lines"), new("orders"), delta["products"]))
+        lines = _within(new("lines"), "goods_id", ranges["products"])
+        triples.append((lines, new("orders"), delta["products"]))
     return triples

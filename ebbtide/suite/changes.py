@@ -113,7 +113,7 @@ DIFF_SQL = R.SQL + """SELECT rec_id, op, before_price, after_price FROM (
 @query("snapshot_diff", DIFF_SQL)
 def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
     """Change events from comparing the first with the last state of the line-items."""
-    old, new = R.lines(spark, d), changelog.replay(R.line_events(spark, d), R.LINES)
+    old, new = R.lines(spark, d), changelog.replay(R.decoded(spark, d, R.LINES), R.LINES)
     events = changelog.diff(old, new, R.LINES, 0)
     return events.select(
         F.coalesce("after.rec_id", "before.rec_id").alias("rec_id"),
@@ -126,7 +126,7 @@ def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
 @query("diff_applied", R.SQL + FINAL_LINES)
 def diff_applied(spark: SparkSession, d: str) -> DataFrame:
     """Seeding with the first state and applying the difference gives the last state."""
-    old, new = R.lines(spark, d), changelog.replay(R.line_events(spark, d), R.LINES)
+    old, new = R.lines(spark, d), changelog.replay(R.decoded(spark, d, R.LINES), R.LINES)
     seed = changelog.snapshot_events(old, R.LINES, 0, 0)
     step = changelog.diff(old, new, R.LINES, 1, 1)
     return changelog.replay(seed.unionByName(step), R.LINES)

@@ -200,7 +200,7 @@ def copied_tables(spark: SparkSession, d: str) -> DataFrame:
 )
 def reconciled_line_items(spark: SparkSession, d: str) -> DataFrame:
     """The first against the last state of the line-items."""
-    old, new = R.LINES.conform(R.lines(spark, d)), changelog.replay(R.line_events(spark, d), R.LINES)
+    old, new = R.LINES.conform(R.lines(spark, d)), changelog.replay(R.decoded(spark, d, R.LINES), R.LINES)
     return quality.reconcile(old, new, R.LINES.key, R.LINES.name)
 
 
@@ -210,5 +210,5 @@ def reconciled_line_items(spark: SparkSession, d: str) -> DataFrame:
 UNION ALL SELECT rec_id, deal_price * 0.9, 'right', 1 FROM li WHERE flag <> 'R' AND status = 'O'""",
 )
 def line_item_differences(spark: SparkSession, d: str) -> DataFrame:
-    old, new = R.LINES.conform(R.lines(spark, d)), changelog.replay(R.line_events(spark, d), R.LINES)
+    old, new = R.LINES.conform(R.lines(spark, d)), changelog.replay(R.decoded(spark, d, R.LINES), R.LINES)
     return quality.differences(old, new).select("rec_id", "deal_price", "side", "surplus")

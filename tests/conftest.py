@@ -11,9 +11,10 @@ from ebbtide.session import builder  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        builder("tests", "local[4]", 4)
+        builder("tests", "local[4]", 2)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.default.parallelism", "1")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -73,7 +73,7 @@ def test_compaction_keeps_the_contents(spark, tmp_path, fan_in):
     for t in (compacted, plain):
         t.create_if_absent()
     merged = []
-    for batch in range(7):
+    for batch in range(5):
         data = {k: rng.choice([None, 1, 2, 3]) for k in rng.sample("abcdef", 3)}
         for t in (compacted, plain):
             put(t, batch, data)
