@@ -168,7 +168,7 @@ def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_open = F.col("status") == "O"
     last = F.when(is_open, cheaper).otherwise(first)
     return _events(
-        lines(spark, sf_dir),
+        lines(spark, sf_dir).repartition("rec_id"),
         _stage(changelog.INSERT, None, first, at, LINES),
         F.when(is_open, _stage(changelog.UPDATE, first, cheaper, at + DAY_MS, LINES)),
         F.when(F.col("flag") == "R", _stage(changelog.DELETE, last, None, at + 2 * DAY_MS, LINES)),
@@ -181,7 +181,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending = F.col("status") == "P"
     last = F.when(pending, dearer).otherwise(first)
     return _events(
-        orders(spark, sf_dir),
+        orders(spark, sf_dir).repartition("order_id"),
         _stage(changelog.INSERT, None, first, at, ORDERS),
         F.when(pending, _stage(changelog.UPDATE, first, dearer, at + DAY_MS, ORDERS)),
         F.when(F.col("priority") == "5-LOW", _stage(changelog.DELETE, last, None, at + 3 * DAY_MS, ORDERS)),
@@ -238,7 +238,7 @@ def log(spark: SparkSession, sf_dir: str) -> ChangeLog:
             tagged = events.withColumn("key", key).withColumn("period", year - F.pmod(year, F.lit(2)))
             part = changelog.encode(tagged, spec).withColumn("topic", F.lit(spec.name))
             encoded = part if encoded is None else encoded.unionByName(part)
-        encoded.repartition("period", "key").write.partitionBy("period").parquet(f"{root}/staged")
+        encoded.write.partitionBy("period").parquet(f"{root}/staged")
         staged = spark.read.parquet(f"{root}/staged")
         periods = tuple(r["period"] for r in staged.select("period").distinct().orderBy("period").collect())
         for period in periods:
