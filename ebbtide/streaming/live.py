@@ -18,6 +18,7 @@ from ebbtide.plans import views
 from ebbtide.sinks.keyed import SumTable, UpsertTable, keyed_changes
 from ebbtide.sources import changelog, topics
 from ebbtide.specs import TableSpec
+from ebbtide.streaming.parallel import adaptive
 
 
 def signed_topic(changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -68,6 +69,10 @@ def windowed(lines: DataFrame, time: str, duration: str, late_by: str) -> DataFr
 
 
 def _start(df: DataFrame, write, checkpoint: str, every: str | None, drain: bool) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    def apply(batch: DataFrame, number: int) -> None:
+        with adaptive(batch):
+            write(batch, number)
+
+    writer = df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)
     return writer.start()

@@ -27,7 +27,7 @@ from ebbtide.plans import views
 from ebbtide.sinks.keyed import SumTable, UpsertTable, keyed_changes
 from ebbtide.sources import changelog, topics
 from ebbtide.specs import TableSpec
-from ebbtide.streaming.parallel import together
+from ebbtide.streaming.parallel import adaptive, together
 
 
 # The columns on which each table meets the others.
@@ -123,7 +123,10 @@ class StatementSet:
 
     def apply(self, batch: DataFrame, number: int) -> None:
         """Apply micro-batch ``number`` of ``topic, value, proc_time[, seq]`` to all tables."""
-        batch = batch.persist()
+        with adaptive(batch):
+            self._apply_cached(batch.persist(), number)
+
+    def _apply_cached(self, batch: DataFrame, number: int) -> None:
         try:
             present = {r["topic"]: r for r in batch.groupBy("topic").agg(F.max("proc_time").alias("at")).collect()}
             if present:
