@@ -34,11 +34,16 @@ _BLOCKS = "h bigint, s bigint, uid bigint, start int, n int"
 class Tokens:
     """How texts become numbers: ``read(bytes, ends)`` gives the numbers and where in them each text ends.
 
-    With ``cut``, tokens are bytes and a long text may be read in pieces.
+    With ``cut``, tokens are bytes and a long text may be read in pieces. A
+    token that is sent on takes ``width`` bytes: ``pack(text, numbers)`` makes
+    them and ``unpack`` gives the numbers back.
     """
 
     read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     cut: bool
+    width: int
+    pack: Callable[[np.ndarray, np.ndarray], bytes]
+    unpack: Callable[[bytes], np.ndarray]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -83,7 +88,7 @@ def _emit_blocks(tokens: Tokens, length: int, seed: int):
 
 
 def _emit_chosen(tokens: Tokens, length: int):
-    """The tokens of the chosen blocks of each text: ``uid, start, n, x`` with ``x`` as bytes."""
+    """The tokens of the chosen blocks of each text, packed: ``uid, start, n, x``."""
 
     def emit(batches):
         for batch in batches:
@@ -93,12 +98,12 @@ def _emit_chosen(tokens: Tokens, length: int):
             ids, starts, counts, out = [], [], [], []
             for r, picks in enumerate(chosen):
                 text = data[offsets[r] : offsets[r + 1]]
-                x, _ = tokens.read(text, np.array([len(text)]))
+                x = tokens.pack(text, tokens.read(text, np.array([len(text)]))[0])
                 for c in picks:
                     ids.append(uid[r])
                     starts.append(c["start"])
                     counts.append(c["n"])
-                    out.append(x[c["start"] : c["start"] + c["n"] + length - 1].tobytes())
+                    out.append(x[c["start"] * tokens.width : (c["start"] + c["n"] + length - 1) * tokens.width])
                 if len(ids) > 20_000:
                     yield _chosen(ids, starts, counts, out)
                     ids, starts, counts, out = [], [], [], []
@@ -115,18 +120,18 @@ def _chosen(ids, starts, counts, out) -> pa.RecordBatch:
     )
 
 
-def _spans(batch: pa.RecordBatch):
+def _spans(batch: pa.RecordBatch, tokens: Tokens):
     """All rows' ``x`` in one array of numbers, with the begin of each."""
     data, offsets = strings(batch, "x")
-    return np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), np.uint64), (offsets - offsets[0]) // 8
+    return tokens.unpack(data[offsets[0] : offsets[-1]].tobytes()), (offsets - offsets[0]) // tokens.width
 
 
-def _emit_cells(length: int, seed: int):
+def _emit_cells(tokens: Tokens, length: int, seed: int):
     """Cells of each block: ``k`` hash of what its windows share, ``t`` of all it covers, ``first`` window and ``w`` windows."""
 
     def emit(batches):
         for batch in batches:
-            x, begin = _spans(batch)
+            x, begin = _spans(batch, tokens)
             uid, start, n = (integers(batch, c).astype(np.int64) for c in ("uid", "start", "n"))
             roll = Rolling(1)
             p = roll.prefix(x)
@@ -169,12 +174,12 @@ def _anchors(seeds: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _emit_windows(length: int):
+def _emit_windows(tokens: Tokens, length: int):
     """Each window of the chosen cells: two hashes and its place."""
 
     def emit(batches):
         for batch in batches:
-            x, begin = _spans(batch)
+            x, begin = _spans(batch, tokens)
             uid, start = integers(batch, "uid"), integers(batch, "start")
             f1, f2 = fingerprints(x, length)
             cells = batch.column(batch.schema.get_field_index("cells")).to_pylist()
@@ -255,7 +260,7 @@ def repeated_windows(docs: DataFrame, tokens: Tokens, length: int, seed: int, ke
     spans = spark.read.parquet(f"{root}/chosen")
 
     # Pass 2: cells.
-    cells = spans.mapInArrow(_emit_cells(length, seed), "k bigint, t bigint, uid bigint, start int, first int, w int")
+    cells = spans.mapInArrow(_emit_cells(tokens, length, seed), "k bigint, t bigint, uid bigint, start int, first int, w int")
     place = F.struct("uid", "first")
     (
         cells.groupBy("k")
@@ -275,13 +280,14 @@ def repeated_windows(docs: DataFrame, tokens: Tokens, length: int, seed: int, ke
     # Pass 3: windows.
     rest = found.where("differ").groupBy("uid", "start").agg(F.collect_list(F.struct("first", "w")).alias("cells"))
     windows = spans.join(rest, ["uid", "start"]).mapInArrow(
-        _emit_windows(length), "f1 bigint, f2 bigint, uid bigint, start int"
+        _emit_windows(tokens, length), "f1 bigint, f2 bigint, uid bigint, start int"
     )
     windows.write.parquet(f"{root}/windows")
     windows = spark.read.parquet(f"{root}/windows")
     place = F.struct("uid", "start")
     twice = windows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("rep")).where("c > 1")
     twice.select("f1", "f2", F.col("rep.uid").alias("_u"), F.col("rep.start").alias("_s")).write.parquet(f"{root}/twice")
+    release(docs)
     single = windows.join(spark.read.parquet(f"{root}/twice"), ["f1", "f2"])
     if keep_first:
         single = single.where("NOT (uid = _u AND start = _s)")

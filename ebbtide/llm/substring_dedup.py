@@ -46,7 +46,9 @@ def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed(roll.of(p, starts, length) + length.astype(np.uint64)), np.searchsorted(starts, ends)
 
 
-WORDS = Tokens(words, cut=False)
+WORDS = Tokens(
+    words, cut=False, width=8, pack=lambda text, x: x.tobytes(), unpack=lambda packed: np.frombuffer(packed, np.uint64)
+)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:

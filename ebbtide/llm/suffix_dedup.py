@@ -28,7 +28,13 @@ def as_letters(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return Rolling(0).letters()[data], ends
 
 
-BYTES = Tokens(as_letters, cut=True)
+BYTES = Tokens(
+    as_letters,
+    cut=True,
+    width=1,
+    pack=lambda text, x: text.tobytes(),
+    unpack=lambda packed: Rolling(0).letters()[np.frombuffer(packed, np.uint8)],
+)
 
 
 def remove_later_copies(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
