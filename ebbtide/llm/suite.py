@@ -1,6 +1,17 @@
 """All queries of this subpackage, each beside its SQL where SQL can say it."""
 
-from ebbtide.llm import bpe, exact_dedup, language_id, sharding, substring_dedup, suffix_dedup  # noqa: F401  (register their queries)
+from ebbtide.llm import (  # noqa: F401  (register their queries)
+    bpe,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    lm_score,
+    pii,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+)
 from ebbtide.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
