@@ -1,18 +1,84 @@
-"""A corpus pipeline of five stages, each one of the operators in ``ebbtide.llm``."""
+"""A corpus pipeline: five stages, each one of the operators in ``ebbtide.llm``.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before
+kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ebbtide.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id
 from ebbtide.llm.registry import table
+from ebbtide.session import work_dir
+
+#: Near duplicates: shingles of five words, similarity of 0.8 or more.
+NEAR = jaccard_join.Rule(words=5, over=80, under=100)
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that is known; those without letters or unlike all that was learned go."""
+    return language_id.recognised(docs, language_id.fit(docs))
+
+
+def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose texts are equal but for white space: that with the smallest number.
+
+    Of rows with that number in the group, the first by text and other columns.
+    """
+    groups = exact_dedup.exact_groups(docs)
+    at = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("_sha") == F.col("text_sha256")]
+    keepers = (
+        groups.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .groupBy(F.col("doc_id").alias("_id"), "text_sha256")
+        .agg((F.count(F.lit(1)) > 1).alias("_again"))
+    )
+    text = exact_dedup.normalized(F.col("text"))
+    kept = docs.withColumn("_sha", F.sha2(text.cast("binary"), 256)).join(keepers, at)
+    first = Window.partitionBy("_id", "_sha").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
+    repeated = kept.where("_again").withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return kept.where("NOT _again").select(docs.columns).unionByName(repeated.select(docs.columns))
+
+
+def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest number."""
+    groups = jaccard_join.similar_groups(docs, NEAR)
+    firsts = groups.where("first").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(firsts, same, "left_semi")
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    leaked = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(leaked, same, "left_anti")
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``: each document as tokens, and digests of both ways."""
+    return bpe.round_trip(docs, bpe.public_codec(), with_ids=True)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", known_languages),
+    ("exact_dedup", one_of_equal),
+    ("ngram_jaccard_join", one_of_near),
+    ("benchmark_decontamination", without_leaks),
+    ("byte_bpe", encoded),
+]
 
+#: SQL has no language models; the tests compare with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage returns is a table in the shared folder before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    root = work_dir(spark, "corpus-pipeline")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{i}-{name}")
+        docs = spark.read.parquet(f"{root}/{i}-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

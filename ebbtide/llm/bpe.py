@@ -218,6 +218,11 @@ def _encoded(batch: pa.RecordBatch, memo: _Memo) -> Iterator[bytes]:
         yield memo.codec.encode(text.as_py() or "", memo)
 
 
+def _lists(packed: list[bytes]) -> pa.Array:
+    offsets = np.cumsum([0] + [len(x) // 4 for x in packed]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
+
+
 def _key(codec: Codec) -> str:
     return hashlib.sha256(b"".join(codec.tokens) + codec.pattern.encode()).hexdigest()
 
@@ -230,13 +235,7 @@ def encode(docs: DataFrame, codec: Codec) -> DataFrame:
     def run(batches):
         memo = _memo(key, shared.value)
         for batch in batches:
-            ids = list(_encoded(batch, memo))
-            offsets = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
-            values = np.frombuffer(b"".join(ids), "<i4")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))],
-                names=["doc_id", "ids"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(_encoded(batch, memo)))], names=["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -258,10 +257,11 @@ def decode(tokens: DataFrame, codec: Codec) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, bytes binary")
 
 
-def round_trip(docs: DataFrame, codec: Codec) -> DataFrame:
+def round_trip(docs: DataFrame, codec: Codec, with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: texts encoded, decoded again, and the digests of both.
 
-    One row for each row of ``docs``; null is an empty text.
+    One row for each row of ``docs``; null is an empty text. ``with_ids`` adds
+    the ``ids`` themselves.
     """
     small_batches(docs.sparkSession)
     shared, key = docs.sparkSession.sparkContext.broadcast(codec), _key(codec)
@@ -269,20 +269,23 @@ def round_trip(docs: DataFrame, codec: Codec) -> DataFrame:
     def run(batches):
         memo = _memo(key, shared.value)
         for batch in batches:
-            n, encoded, decoded = [], [], []
+            n, encoded, decoded, kept = [], [], [], []
             for ids in _encoded(batch, memo):
+                if with_ids:
+                    kept.append(ids)
                 n.append(len(ids) // 4)
                 encoded.append(hashlib.sha256(ids).hexdigest())
                 decoded.append(hashlib.sha256(memo.codec.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns.append(_lists(kept))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
 
 
 def public_codec(name: str = VOCABULARY) -> Codec:

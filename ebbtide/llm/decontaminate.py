@@ -77,12 +77,12 @@ def literals(tokens: Column) -> Column:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, n_found, n_tokens, n_slots, n_values, n_conflicts``: which items a document holds.
+    """``doc_id, item_id, n_found, n_tokens, n_slots, n_values, n_conflicts, text_hash``: which items a document holds.
 
     One row for each document (``doc_id``, ``text``) and item (``item_id``,
     ``text``) of which ``FOUND_TOKENS`` tokens or ``FOUND_SHARE`` of all are
     found and whose ``n_values`` slot values agree but for ``CONFLICTS`` of
-    them. Null and short texts hold nothing. Rows with equal ``doc_id`` and text
+    them. ``text_hash`` is ``xxhash64`` of the document's text. Null and short texts hold nothing. Rows with equal ``doc_id`` and text
     are one document; repeated items count once.
     """
     spark = docs.sparkSession
@@ -127,26 +127,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("uid")
         .agg(F.collect_list(F.struct("item_id", "shift", "place", "n_found", "n_tokens")).alias("places"))
         .join(keyed, "uid")
-        .select("doc_id", "uid", F.explode(filled).alias("p"))
-        .select("doc_id", "uid", "p.*")
+        .select("doc_id", "uid", F.xxhash64("text").alias("text_hash"), F.explode(filled).alias("p"))
+        .select("doc_id", "uid", "text_hash", "p.*")
     )
     in_items = items.select("item_id", F.posexplode("tokens").alias("place", "ours"))
     slot = template(F.col("ours")).isin(NUMBER, NAME, UNIT)
     values = (
         in_docs.join(in_items, ["item_id", "place"])
-        .groupBy("uid", "doc_id", "item_id", "n_found", "n_tokens", F.when(slot, F.lower("ours")).alias("value"))
+        .groupBy("uid", "doc_id", "text_hash", "item_id", "n_found", "n_tokens", F.when(slot, F.lower("ours")).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.lower("theirs")).alias("kinds"))
     )
     has_value = F.col("value").isNotNull()
     return (
-        values.groupBy("uid", "doc_id", "item_id", "n_found", "n_tokens")
+        values.groupBy("uid", "doc_id", "text_hash", "item_id", "n_found", "n_tokens")
         .agg(
             F.sum(F.when(has_value, F.col("n")).otherwise(0)).alias("n_slots"),
             F.count("value").alias("n_values"),
             F.sum((has_value & (F.col("kinds") > 1)).cast("bigint")).alias("n_conflicts"),
         )
         .where(F.col("n_conflicts") <= F.col("n_values") * CONFLICTS)
-        .select("doc_id", "item_id", "n_found", "n_tokens", "n_slots", "n_values", "n_conflicts")
+        .select("doc_id", "item_id", "n_found", "n_tokens", "n_slots", "n_values", "n_conflicts", "text_hash")
     )
 
 
@@ -183,4 +183,4 @@ HAVING sum(CASE WHEN value IS NOT NULL AND kinds > 1 THEN 1 ELSE 0 END) <= count
 
 @query("op7_benchmark_decontamination", SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")

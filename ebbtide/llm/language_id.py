@@ -33,6 +33,8 @@ REJECT_AT = 8.0
 #: Characters beyond which a text's cross-entropy is not trusted more.
 FULL_TRUST = 400
 UNKNOWN = "und"
+#: Characters that are looked at together, unless one text has more.
+TEXT_AT_ONCE = 1 << 20
 
 _PAD = "\x00" * (ORDER - 1)
 
@@ -264,6 +266,48 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     return Model(languages, model.grams, model.probabilities, model.contexts, model.weights, usual, spread)
 
 
+def _judged(model: Model | None, column: pa.Array) -> list[tuple]:
+    """Language, score, cross-entropy, characters and rejection of each text of a column."""
+    texts = [t or "" for t in column.to_pylist()]
+    nothing = (UNKNOWN, 0.0, None, 0, True)
+    if model is None:
+        return [nothing] * len(texts)
+    out, i = [], 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= TEXT_AT_ONCE):
+            size += len(texts[j])
+            j += 1
+        entropy, n, letters = model.cross_entropies(texts[i:j])
+        best = entropy.argmin(axis=1)
+        low = entropy[np.arange(j - i), best]
+        share = 1 / np.exp(-(entropy - low[:, None]) * np.minimum(n, 50)[:, None]).sum(axis=1)
+        if model.usual is None:
+            odd = np.zeros(j - i, bool)
+        else:
+            odd = (low - model.usual[best]) * np.sqrt(np.minimum(n, FULL_TRUST)) > REJECT_AT * model.spread[best]
+        for r in range(j - i):
+            if letters[r]:
+                out.append((model.languages[best[r]], float(share[r]), float(low[r]), int(n[r]), bool(odd[r])))
+            else:
+                out.append(nothing)
+        i = j
+    return out
+
+
+def recognised(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, with all their columns."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            out = _judged(shared.value, batch.column(batch.schema.get_field_index("text")))
+            yield batch.filter(pa.array([not o[4] for o in out], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, lang_pred, score, cross_entropy, n_chars, rejected`` for each row of ``docs`` (others ignored).
 
@@ -275,36 +319,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def group(texts: list[str]):
-        m = shared.value
-        entropy, n, letters = m.cross_entropies(texts)
-        best = entropy.argmin(axis=1)
-        low = entropy[np.arange(len(texts)), best]
-        share = 1 / np.exp(-(entropy - low[:, None]) * np.minimum(n, 50)[:, None]).sum(axis=1)
-        if m.usual is None:
-            odd = np.zeros(len(texts), bool)
-        else:
-            odd = (low - m.usual[best]) * np.sqrt(np.minimum(n, FULL_TRUST)) > REJECT_AT * m.spread[best]
-        for i in range(len(texts)):
-            if letters[i]:
-                yield m.languages[best[i]], float(share[i]), float(low[i]), int(n[i]), bool(odd[i])
-            else:
-                yield UNKNOWN, 0.0, None, 0, True
-
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            out, i = [], 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j]) <= 1 << 20):
-                    size += len(texts[j])
-                    j += 1
-                if shared.value is None:
-                    out += [(UNKNOWN, 0.0, None, 0, True)] * (j - i)
-                else:
-                    out += group(texts[i:j])
-                i = j
+            out = _judged(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
