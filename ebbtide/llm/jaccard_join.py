@@ -33,9 +33,9 @@ from ebbtide.llm.texts import Rolling, as_rows, identified, integers, mixed, pie
 from ebbtide.session import work_dir
 
 #: Tokens that come last in the first order: those in most documents.
-COMMON_TOKENS = 1 << 16
+COMMON_TOKENS = 1 << 18
 #: Documents of a task from which a token is counted; a token misses as many for each task at most.
-COUNTED_FROM = 4
+COUNTED_FROM = 3
 #: Nodes of a group that are compared at once; tokens of more are laid out in tiles.
 TILE = 4096
 #: Groups up to this size keep every possible pair, larger ones a forest.
@@ -115,16 +115,29 @@ def sketch(tokens: np.ndarray, size: int) -> bytes:
     return np.packbits((np.bincount(bins, minlength=64 * size) & 1).astype(np.uint8)).tobytes()
 
 
+def own_sketch(tokens: np.ndarray) -> bytes:
+    """A sketch with about as many bins as there are tokens."""
+    return sketch(tokens, max(SKETCH, 1 << (max(1, len(tokens) // 64) - 1).bit_length()))
+
+
+def difference(x: bytes, y: bytes) -> int:
+    """In how many bins two own sketches differ at least; the longer one is folded to the length of the other."""
+    a, b = (np.frombuffer(s, np.uint64) for s in sorted((x, y), key=len))
+    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ folded).sum())
+
+
 def other_prefix(tokens: np.ndarray, which: int, rule: Rule) -> bytes:
     """The prefix under another order, as 32-bit parts of its hashes."""
-    order = np.sort(mixed(tokens + np.uint64(1_000_003 * which)))
-    return (order[: rule.prefix(len(tokens))] >> np.uint64(32)).astype("<u4").tobytes()
+    n = rule.prefix(len(tokens))
+    order = np.partition(mixed(tokens + np.uint64(1_000_003 * which)), n - 1)
+    return (order[:n] >> np.uint64(32)).astype("<u4").tobytes()
 
 
 def _survey(rule: Rule):
     """A row for each text, and how many documents of the task hold a token if they are several."""
 
-    def rows(kind, a, b, c, n, p, q):
+    def rows(kind, a, b, c, n, p, q, s):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(len(a), kind, np.int32)),
@@ -134,15 +147,16 @@ def _survey(rule: Rule):
                 pa.array(n, pa.int64()),
                 pa.array(p, pa.binary()),
                 pa.array(q, pa.binary()),
+                pa.array(s, pa.binary()),
             ],
-            names=["kind", "a", "b", "c", "n", "p", "q"],
+            names=["kind", "a", "b", "c", "n", "p", "q", "s"],
         )
 
     def counted(tally: Tally):
         keys, c = tally.taken()
         keys, c = keys[c >= COUNTED_FROM], c[c >= COUNTED_FROM]
         nothing = [None] * len(keys)
-        return rows(1, keys.view(np.int64), nothing, nothing, c, nothing, nothing)
+        return rows(1, keys.view(np.int64), nothing, nothing, c, nothing, nothing, nothing)
 
     def run(batches):
         tally = Tally()
@@ -153,9 +167,10 @@ def _survey(rule: Rule):
                 if len(tokens):
                     seen.append(tokens)
                     f, g = node_of(tokens)
-                    out.append((uid[r], f, g, len(tokens), other_prefix(tokens, 1, rule), other_prefix(tokens, 2, rule)))
+                    prefixes = other_prefix(tokens, 1, rule), other_prefix(tokens, 2, rule)
+                    out.append((uid[r], f, g, len(tokens), *prefixes, own_sketch(tokens)))
                 else:
-                    out.append((uid[r], None, None, 0, None, None))
+                    out.append((uid[r], None, None, 0, None, None, None))
             if out:
                 yield rows(0, *map(list, zip(*out)))
             if seen:
@@ -330,15 +345,22 @@ def _pairs(rule: Rule, all_pairs: bool):
     return run
 
 
-def _share_prefixes(batches):
-    """Candidates that share a token under both further orders."""
-    for batch in batches:
-        col = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("pa", "pb", "qa", "qb")]
-        keep = []
-        for pa_, pb, qa, qb in zip(*col):
-            both = ((np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) for x, y in ((pa_, pb), (qa, qb)))
-            keep.append(all(np.isin(x, y).any() for x, y in both))
-        yield batch.filter(pa.array(keep)).select(["a", "b", "whole"])
+def _share_prefixes(rule: Rule):
+    """Candidates that share a token under both further orders and whose own sketches allow the similarity."""
+
+    def run(batches):
+        for batch in batches:
+            names = ("na", "nb", "sa", "sb", "pa", "pb", "qa", "qb")
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names]
+            keep = []
+            for na, nb, sa, sb, *prefixes in zip(*columns):
+                ok = bool(rule.may_be_similar(na, nb, difference(sa, sb)))
+                for x, y in (prefixes[:2], prefixes[2:]):
+                    ok = ok and bool(np.isin(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")).any())
+                keep.append(ok)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b", "whole"])
+
+    return run
 
 
 def _compare(rule: Rule):
@@ -386,20 +408,18 @@ class Join:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
     def survey(self) -> None:
-        kinds = "kind int, a bigint, b bigint, c bigint, n bigint, p binary, q binary"
-        self.docs.mapInArrow(_survey(self.rule), kinds).write.partitionBy("kind").parquet(f"{self.root}/survey")
-        seen = self.spark.read.schema("a bigint, b bigint, c bigint, n bigint, p binary, q binary, kind int").parquet(
-            f"{self.root}/survey"
-        )
+        columns = "a bigint, b bigint, c bigint, n bigint, p binary, q binary, s binary"
+        self.docs.mapInArrow(_survey(self.rule), f"kind int, {columns}").write.partitionBy("kind").parquet(f"{self.root}/survey")
+        seen = self.spark.read.schema(f"{columns}, kind int").parquet(f"{self.root}/survey")
         own = seen.where("kind = 0")
         self.members = own.select(F.col("a").alias("uid"), F.col("b").alias("node"), F.col("c").alias("twin"), "n")
         nodes = own.where("n > 0").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("uid"), F.max("n").alias("n"))
         self.nodes = self.save(nodes, "nodes")
-        # The other prefixes of a node, from its first document.
-        orders = own.select(F.col("a").alias("uid"), F.col("b").alias("node"), "p", "q").join(
+        # What candidates are filtered by, from the first document of a node.
+        orders = own.select(F.col("a").alias("uid"), F.col("b").alias("node"), "n", "p", "q", "s").join(
             self.nodes.select("uid"), "uid", "left_semi"
         )
-        self.orders = orders.select("node", "p", "q")
+        self.orders = orders.select("node", "n", "p", "q", "s")
         tokens = seen.where("kind = 1").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("c"))
         got = most_seen(self.save(tokens, "tokens"), COMMON_TOKENS).toArrow()
         keys = got.column("key").to_numpy().astype(np.int64).view(np.uint64)
@@ -466,10 +486,11 @@ class Join:
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """``a, b, whole, good`` of the candidates that share prefixes under all orders; others are not similar."""
-        p, q = F.col("p"), F.col("q")
-        left = self.orders.select(F.col("node").alias("a"), p.alias("pa"), q.alias("qa"))
-        right = self.orders.select(F.col("node").alias("b"), p.alias("pb"), q.alias("qb"))
-        kept = pairs.join(left, "a").join(right, "b").mapInArrow(_share_prefixes, "a bigint, b bigint, whole boolean")
+        left, right = (
+            self.orders.select(F.col("node").alias(end), *(F.col(c).alias(c + end) for c in "npqs")) for end in "ab"
+        )
+        kept = pairs.join(left, "a").join(right, "b")
+        kept = kept.mapInArrow(_share_prefixes(self.rule), "a bigint, b bigint, whole boolean")
         kept = self.save(kept, f"{name}-kept")
         ends = kept.select(F.col("a").alias("node")).unionByName(kept.select(F.col("b").alias("node"))).distinct()
         sets = self.sets(ends, f"{name}-sets")

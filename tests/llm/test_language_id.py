@@ -36,7 +36,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_rejects_what_is_unlike_all(spark):
-    rows = corpus()
+    rows = corpus(700)
     docs = table(spark, rows)
     odd = table(spark, [(1000, "zxq jkv wqpzx kjqx vbnx " * 20, None), (1001, "Theand ertion", None), (1002, "12 !? 34", "en")])
     got = {r["doc_id"]: r for r in L.predict(odd, L.fit(docs)).collect()}
