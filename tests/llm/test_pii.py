@@ -48,6 +48,7 @@ def test_skip_links_add_what_is_alike():
 
     filler = " words between" * 40
     assert added(f"+1 202-555-0143{filler} (202) 555-0143 or 202-555-0143, 2025550143") == [
+        ("phone", "555-0143"),
         ("phone", "202-555-0143"),
         ("phone", "2025550143"),
     ]

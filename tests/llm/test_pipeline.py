@@ -13,7 +13,7 @@ QUESTION = "Alice has 12 apples and gives 5 of them to Bob before the two walk h
 
 def rows_of():
     rng = random.Random(12)
-    rows = corpus(150)
+    rows = corpus(700)
     texts = [t for _, t, _ in rows]
     rows += [(1000 + i, texts[i].replace(" ", "  ", 2), "en") for i in range(20)]  # equal but for white space
     for i in range(20, 50):
