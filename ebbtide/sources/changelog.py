@@ -1,8 +1,13 @@
 """Change events: decode, encode, replay, and capture by comparing snapshots.
 
-An event is a JSON envelope ``{before, after, op, ts_ms, seq}``: the full row
-before and after the change, the operation (``c`` insert, ``r`` snapshot read,
-``u`` update, ``d`` delete), the commit time and an increasing sequence number.
+An event is a JSON envelope ``{before, after, op, ts_ms, source, seq}``: the full
+row before and after the change, the operation (``c`` insert, ``r`` snapshot
+read, ``u`` update, ``d`` delete), the commit time and its position in the log.
+
+Events are ordered by ``source.lsn``, the position in the source's own log;
+where it is missing, by the number that the transport gives its records, and
+else by ``seq`` in the envelope. An event without any of these is a fault. All
+events of one topic should carry the same kind of position.
 """
 
 from __future__ import annotations
@@ -33,7 +38,18 @@ def envelope_schema(spec: TableSpec) -> T.StructType:
     )
 
 
-def _fault(event: Column, spec: TableSpec) -> Column:
+def _read_schema(spec: TableSpec) -> T.StructType:
+    source = T.StructField("source", T.StructType([T.StructField("lsn", T.LongType())]))
+    return T.StructType([*envelope_schema(spec).fields, source])
+
+
+def _position(event: Column, raw: DataFrame) -> Column:
+    """Where in the log an event stands; ``raw`` may have the transport's number as ``seq``."""
+    transport = [F.col("seq")] if "seq" in raw.columns else []
+    return F.coalesce(event["source"]["lsn"], *transport, event["seq"])
+
+
+def _fault(event: Column, position: Column) -> Column:
     """Why an envelope cannot be applied, or NULL if it can."""
     op = event["op"]
     return (
@@ -41,50 +57,55 @@ def _fault(event: Column, spec: TableSpec) -> Column:
         .when(~op.isin(INSERT, READ, UPDATE, DELETE), F.concat(F.lit("unknown operation "), op))
         .when(op.isin(*REMOVES) & event["before"].isNull(), F.lit("no before-image; the source must log full old rows"))
         .when(op.isin(*ADDS) & event["after"].isNull(), F.lit("no after-image"))
+        .when(position.isNull(), F.lit("no position in the log: neither source.lsn nor a record number nor seq"))
     )
 
 
 def decode(raw: DataFrame, spec: TableSpec, value: str = "value") -> DataFrame:
     """JSON text to envelopes, other columns passed through.
 
-    A malformed value, an unknown operation or a missing row image fails the
-    query: dropping it would leave every view wrong without a trace.  Null
+    A malformed value, an unknown operation, a missing row image or a missing
+    position fails the query: dropping it would leave every view wrong without a trace.  Null
     values are tombstones and carry no change.
     """
     keep = [c for c in raw.columns if c not in (value, "seq")]
-    event = F.from_json(F.col(value), envelope_schema(spec), {"mode": "FAILFAST"})
+    event = F.from_json(F.col(value), _read_schema(spec), {"mode": "FAILFAST"})
     # Parsing inside a generator happens once per event: a filter on an event
     # field stays above it, instead of being pushed down with a parse of its own.
     parsed = raw.where(F.col(value).isNotNull()).select("*", F.explode(F.array(event)).alias("_event"))
-    fault = _fault(F.col("_event"), spec)
+    position = _position(F.col("_event"), raw)
+    fault = _fault(F.col("_event"), position)
     checked = parsed.withColumn(
         "_event",
         F.when(fault.isNull(), F.col("_event")).otherwise(
             F.raise_error(F.concat(F.lit(f"{spec.name}: "), fault))
         ),
     )
-    # A transport that numbers its records (a topic offset) overrules the envelope.
-    seq = F.coalesce(F.col("seq"), F.col("_event.seq")) if "seq" in raw.columns else F.col("_event.seq")
     return checked.select(
-        *keep, "_event.before", "_event.after", "_event.op", "_event.ts_ms", seq.alias("seq")
+        *keep, "_event.before", "_event.after", "_event.op", "_event.ts_ms", position.alias("seq")
     )
 
 
 def split_rejects(raw: DataFrame, spec: TableSpec, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(raw events that decode, rejected ones with a ``fault`` column)."""
-    event = F.from_json(F.col(value), envelope_schema(spec), {"mode": "PERMISSIVE"})
-    judged = raw.where(F.col(value).isNotNull()).withColumn("fault", _fault(event, spec))
+    event = F.from_json(F.col(value), _read_schema(spec), {"mode": "PERMISSIVE"})
+    judged = raw.where(F.col(value).isNotNull()).withColumn("fault", _fault(event, _position(event, raw)))
     return judged.where(F.col("fault").isNull()).drop("fault"), judged.where(F.col("fault").isNotNull())
 
 
-def encode(events: DataFrame, spec: TableSpec) -> DataFrame:
+def encode(events: DataFrame, spec: TableSpec, position: str = "seq") -> DataFrame:
     """Envelopes to JSON text in a column ``value``; the inverse of ``decode``.
 
-    Every column is written, nulls too, and in the declared order.
+    Every column is written, nulls too, and in the declared order. With
+    ``position="lsn"`` the position is written as ``source.lsn``, as change
+    capture on a database log does, and not as ``seq``.
     """
-    typed = F.struct(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in envelope_schema(spec).fields]
-    )
+    if position not in ("seq", "lsn"):
+        raise ValueError(f"position {position!r} is neither seq nor lsn")
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in envelope_schema(spec).fields]
+    if position == "lsn":
+        fields[-1] = F.struct(F.col("seq").cast("bigint").alias("lsn")).alias("source")
+    typed = F.struct(*fields)
     keep = [c for c in events.columns if c not in ENVELOPE]
     return events.select(*keep, F.to_json(typed, {"ignoreNullFields": "false"}).alias("value"))
 
@@ -101,21 +122,62 @@ def signed(events: DataFrame) -> DataFrame:
     return exploded.where("_image.row IS NOT NULL").select("_image.row.*", *keep, f"_image.{W}")
 
 
-def net_changes(events: DataFrame, spec: TableSpec) -> DataFrame:
+def opening(events: DataFrame, spec: TableSpec) -> DataFrame:
+    """Signed rows that were there before the log began: the first before-image of each key, at +1.
+
+    A log that starts in the middle, or that seeds a table by updates which
+    change nothing, retracts rows it never inserted. Together with these rows
+    ``signed`` is complete.
+    """
+    op = F.col("op")
+    before = F.when(op.isin(*REMOVES), F.col("before"))
+    first = events.groupBy(*_key(spec)).agg(F.min_by(before, "seq").alias("row"))
+    return first.where("row IS NOT NULL").select("row.*", F.lit(1).alias(W))
+
+
+def _key(spec: TableSpec) -> list[Column]:
+    return [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in spec.key]
+
+
+def net_changes(events: DataFrame, spec: TableSpec, keep_unchanged: bool = False) -> DataFrame:
     """One row per key: the row before its first event and after its last one.
 
-    Keys whose rows end up as they began are dropped.  ``min_by`` and
+    Keys whose rows end up as they began are dropped, unless ``keep_unchanged``:
+    who keeps state needs them, as they may be new to it.  ``min_by`` and
     ``max_by`` combine within each task, so a key with very many events crosses
     the shuffle once per task.
     """
     op = F.col("op")
     before = F.when(op.isin(*REMOVES), F.col("before"))
     after = F.when(op.isin(*ADDS), F.col("after"))
-    key = [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in spec.key]
-    folded = events.groupBy(*key).agg(
+    folded = events.groupBy(*_key(spec)).agg(
         F.min_by(before, "seq").alias("before"), F.max_by(after, "seq").alias("after")
     )
-    return folded.where(~F.col("before").eqNullSafe(F.col("after")))
+    return folded if keep_unchanged else changed(folded)
+
+
+def changed(net: DataFrame) -> DataFrame:
+    return net.where(~F.col("before").eqNullSafe(F.col("after")))
+
+
+def against_stored(net: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """Net changes with the row that is stored in place of the row before.
+
+    A key that is not stored has no row before, so whatever its first event
+    says it adds the row after and nothing else. ``stored`` is only met by the
+    changed keys.
+    """
+    same = F.lit(True)
+    for k in spec.key:
+        same = same & stored[k].eqNullSafe(F.col(f"_n.{k}"))
+    # Inner first, so that few changed keys can be broadcast against the state.
+    matched = stored.join(net.select(*spec.key).alias("_n"), same).select(
+        *[stored[k].alias(f"_s_{k}") for k in spec.key], F.struct(*[stored[c].alias(c) for c in spec.columns]).alias("_stored")
+    )
+    at = F.lit(True)
+    for k in spec.key:
+        at = at & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    return net.join(matched, at, "left").select(*spec.key, F.col("_stored").alias("before"), "after")
 
 
 def signed_changes(net: DataFrame) -> DataFrame:
@@ -129,8 +191,7 @@ def signed_changes(net: DataFrame) -> DataFrame:
 
 def replay(events: DataFrame, spec: TableSpec) -> DataFrame:
     """The table that a change log leads to: the last event per key wins."""
-    key = [F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).alias(k) for k in spec.key]
-    last = events.groupBy(*key).agg(F.max_by(F.struct("op", "after"), "seq").alias("_last"))
+    last = events.groupBy(*_key(spec)).agg(F.max_by(F.struct("op", "after"), "seq").alias("_last"))
     return last.where(F.col("_last.op") != DELETE).select("_last.after.*")
 
 

@@ -60,8 +60,8 @@ def kafka_changes(
         opts = {**kafka_options(servers, names, where), **options}
         reader = spark.readStream if streaming else spark.read
         if not streaming:
-            # A bounded read cannot begin at the end of the log.
-            opts["startingOffsets"] = EARLIEST if where == LATEST else opts["startingOffsets"]
+            if where == LATEST:
+                raise ValueError(f"a bounded read of {names} cannot start at {LATEST}: nothing comes after it")
         raw = reader.format("kafka").options(**opts).load()
         parts.append(
             raw.select("topic", F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))

@@ -42,11 +42,16 @@ class Settings:
 
     ``window_on`` is ``proc_time`` (when the change was read) or ``event_time``
     (its commit time).
+
+    ``topics`` names the topic of a table where it is not the table's own name,
+    for example ``{"order_goods": "shop.public.order_goods"}``. A record of any
+    other topic stops the job before anything of its batch is written.
     """
 
     window: str = "10 seconds"
     window_on: str = "proc_time"
     ttl: Mapping[str, str] = field(default_factory=dict)
+    topics: Mapping[str, str] = field(default_factory=dict)
     fan_in: int = 8
     line_items: TableSpec = specs.ORDER_GOODS
     orders: TableSpec = specs.ORDER_INFO
@@ -77,6 +82,11 @@ class StatementSet:
             spark, self._at("revenue_by_window"), specs.WINDOW_TOTALS, "line_items", False
         )
 
+        names = {t.spec.name for t in self.state.values()}
+        if strange := set(s.topics) - names:
+            raise ValueError(f"topics are given for {sorted(strange)}, which are none of {sorted(names)}")
+        self.topic_of = {n: s.topics.get(t.spec.name, t.spec.name) for n, t in self.state.items()}
+
     def _at(self, name: str) -> str:
         return f"{self.root}/results/{name}"
 
@@ -135,6 +145,8 @@ class StatementSet:
             batch.unpersist()
 
     def _apply(self, batch: DataFrame, number: int, topics_at: dict) -> None:
+        if strange := set(topics_at) - set(self.topic_of.values()):
+            raise ValueError(f"records of unknown topics {sorted(map(str, strange))}; name them in Settings.topics")
         before = number - 1
         at = F.lit(max(topics_at.values()))
         results = (self.enriched, self.anomalies, self.categories, self.windows)
@@ -146,11 +158,11 @@ class StatementSet:
         )
 
         events = {
-            name: topics.decode_topic(batch, table.spec)
+            name: topics.decode_topic(batch, table.spec, self.topic_of[name])
             for name, table in self.state.items()
-            if table.spec.name in topics_at
+            if self.topic_of[name] in topics_at
         }
-        nets = {n: changelog.net_changes(e, self.state[n].spec).persist() for n, e in events.items()}
+        nets = {n: self._net(n, e, before, at).persist() for n, e in events.items()}
         try:
             # This fills the caches, which makes their real sizes known: these
             # decide whether changes are broadcast against the state.  Lost
@@ -169,11 +181,24 @@ class StatementSet:
         table = self.state[name]
         table.write(number, _as_upserts(net, table.spec), at)
 
+    def _net(self, name: str, events: DataFrame, before: int, at: Column) -> DataFrame:
+        """One row per key that has events, also if they change nothing: they may seed the key, and keep it from expiring.
+
+        Without a ``ttl`` the stored row is what the results know of a key. With
+        one it may have expired, and then the event's own before-image says what
+        to take back.
+        """
+        table = self.state[name]
+        net = changelog.net_changes(events, table.spec, keep_unchanged=True)
+        if self._deadline(name, at) is not None:
+            return net
+        return changelog.against_stored(net, table.read(before), table.spec)
+
     def _write_results(self, number: int, events: dict, nets: dict, ranges: dict, at: Column) -> None:
         # Only the state that the changes of this batch meet is read at all.
         old = cache(lambda name: self._read_state(name, number - 1, at))
         new = cache(lambda name: self._read_state(name, number, at))
-        delta = {name: changelog.signed_changes(net) for name, net in nets.items()}
+        delta = {name: changelog.signed_changes(changelog.changed(net)) for name, net in nets.items()}
         jobs = []
         pairs = _line_product_changes(delta, old, new, ranges)
         if pairs:

@@ -188,17 +188,27 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def product_events(spark: SparkSession, sf_dir: str, seeded_by: str = changelog.READ) -> DataFrame:
+    """The catalog is seeded by snapshot reads, or by updates that change nothing."""
     moved_at = _millis(f"TIMESTAMP_NTZ'{CATALOG_MOVE} 00:00:00'")
     first, moved = _image(PRODUCTS), _image(PRODUCTS, category_level1=F.lit("CLEARANCE"))
     return _events(
         products(spark, sf_dir),
-        _stage(changelog.READ, None, first, _millis("TIMESTAMP_NTZ'1995-01-01 00:00:00'"), PRODUCTS),
+        _stage(
+            seeded_by,
+            first if seeded_by == changelog.UPDATE else None,
+            first,
+            _millis("TIMESTAMP_NTZ'1995-01-01 00:00:00'"),
+            PRODUCTS,
+        ),
         F.when(F.col("size") >= 40, _stage(changelog.UPDATE, first, moved, moved_at, PRODUCTS)),
     )
 
 
-_logs: dict[tuple[str, str], ChangeLog] = {}
+_logs: dict[tuple, ChangeLog] = {}
+
+# Topic names as change capture gives them: prefix, schema, table.
+PREFIX = "shop.public."
 
 
 @dataclass(frozen=True)
@@ -211,32 +221,40 @@ class ChangeLog:
     spark: SparkSession
     path: str
     periods: tuple[int, ...]
+    prefix: str = ""
 
     def period(self, period: int, spec: specs.TableSpec) -> DataFrame:
         changes = topics.file_changes(self.spark, f"{self.path}/period={period}", streaming=False)
-        return topics.decode_topic(changes, spec)
+        return topics.decode_topic(changes, spec, self.prefix + spec.name)
 
 
-def log(spark: SparkSession, sf_dir: str) -> ChangeLog:
+def log(spark: SparkSession, sf_dir: str, reseeded: bool = False) -> ChangeLog:
     """Derive the change log of the given tables, once per session and folder.
 
+    ``reseeded`` is the log as a database's change capture writes it: topics
+    have a prefix, envelopes carry ``source.lsn`` and no ``seq``, and the catalog
+    is seeded by updates that change nothing.
+
     Events of one period are spread over files by key, so that all events of a
     key in that period sit in one file, as a topic would hold them in one
     partition.
     """
-    run = (spark.sparkContext.applicationId, sf_dir)
+    run = (spark.sparkContext.applicationId, sf_dir, reseeded)
     if run not in _logs:
         root = work_dir(spark, "change-log")
+        prefix = PREFIX if reseeded else ""
+        seeds = product_events(spark, sf_dir, changelog.UPDATE if reseeded else changelog.READ)
         encoded = None
         for spec, events in (
             (LINES, line_events(spark, sf_dir)),
             (ORDERS, order_events(spark, sf_dir)),
-            (PRODUCTS, product_events(spark, sf_dir)),
+            (PRODUCTS, seeds),
         ):
             key = F.coalesce(f"after.{spec.key[0]}", f"before.{spec.key[0]}").cast("string")
             year = F.year(at_time())
             tagged = events.withColumn("key", key).withColumn("period", year - F.pmod(year, F.lit(2)))
-            part = changelog.encode(tagged, spec).withColumn("topic", F.lit(spec.name))
+            part = changelog.encode(tagged, spec, "lsn" if reseeded else "seq")
+            part = part.withColumn("topic", F.lit(prefix + spec.name))
             encoded = part if encoded is None else encoded.unionByName(part)
         encoded.write.partitionBy("period").parquet(f"{root}/staged")
         staged = spark.read.parquet(f"{root}/staged")
@@ -244,14 +262,15 @@ def log(spark: SparkSession, sf_dir: str) -> ChangeLog:
         for period in periods:
             rows = staged.where(F.col("period") == period).repartition("key")
             topics.write_changes(rows, f"{root}/topics/period={period}")
-        _logs[run] = ChangeLog(spark, f"{root}/topics", periods)
+        _logs[run] = ChangeLog(spark, f"{root}/topics", periods, prefix)
     return _logs[run]
 
 
-def decoded(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:
+def decoded(spark: SparkSession, sf_dir: str, spec: specs.TableSpec, reseeded: bool = False) -> DataFrame:
     """The events of one topic."""
-    changes = topics.file_changes(spark, log(spark, sf_dir).path, streaming=False)
-    return topics.decode_topic(changes, spec)
+    own = log(spark, sf_dir, reseeded)
+    changes = topics.file_changes(spark, own.path, streaming=False)
+    return topics.decode_topic(changes, spec, own.prefix + spec.name)
 
 
 def signed(spark: SparkSession, sf_dir: str, spec: specs.TableSpec) -> DataFrame:
