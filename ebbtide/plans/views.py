@@ -153,22 +153,28 @@ def abnormal_order_totals(lines: DataFrame, orders: DataFrame, tolerance: float)
 def demand_spikes(
     lines: DataFrame, time: Column | str, duration: str, history: int, factor: float
 ) -> DataFrame:
-    """Products whose quantity in a window exceeds ``factor`` times the mean of their
-    ``history`` previous windows (windows in which the product sold at all).
+    """Products whose quantity in a window exceeds ``factor`` times the mean of the ``history`` windows before it.
 
-    Quantities are summed per product and window first; the ordered window then
-    sees at most one row per product and time window.
+    A window in which the product did not sell counts as zero. Windows count
+    from the product's first one, so a product is judged once it has been known
+    for ``history`` windows. Quantities are summed per product and window first;
+    the ordered frame then sees at most one row per product and time window.
     """
     time = F.col(time) if isinstance(time, str) else time
+    start = F.col("_window.start")
+    second = start.cast("timestamp").cast("bigint")
+    length = F.col("_window.end").cast("timestamp").cast("bigint") - second
     quantities = S.aggregate(
         lines.withColumn("_window", F.window(time, duration)),
         ["goods_id", "_window"],
         quantity=S.total(lines, F.col("goods_number")),
-    ).select("goods_id", F.col("_window.start").alias("window_start"), "quantity")
-    past = Window.partitionBy("goods_id").orderBy("window_start").rowsBetween(-history, -1)
+    ).select("goods_id", start.alias("window_start"), F.floor(second / length).alias("_at"), "quantity")
+    product = Window.partitionBy("goods_id").orderBy("_at")
+    past = product.rangeBetween(-history, -1)
+    first = F.min("_at").over(product.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        quantities.withColumn("usual", F.avg("quantity").over(past))
-        .withColumn("seen", F.count("quantity").over(past))
-        .where((F.col("seen") == history) & (F.col("quantity") > factor * F.col("usual")))
-        .drop("seen")
+        quantities.withColumn("usual", F.coalesce(F.sum("quantity").over(past), F.lit(0)) / F.lit(history))
+        .withColumn("_first", first)
+        .where((F.col("_at") - F.col("_first") >= history) & (F.col("quantity") > factor * F.col("usual")))
+        .select("goods_id", "window_start", "quantity", "usual")
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbtide.functions import megabytes
 from ebbtide.plans import quality, reports, views
 from ebbtide.plans.quality import Reference
 from ebbtide.session import work_dir
@@ -14,11 +15,17 @@ from ebbtide.suite import retail as R
 from ebbtide.suite.registry import query
 
 KEYS = {
+    "benchmark": ["item_id"],
+    "conversations": ["conv_id", "turn"],
     "customer": ["c_custkey"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
     "events": ["event_id"],
+    "labels": ["doc_id"],
     "lineitem": ["l_orderkey", "l_linenumber"],
     "nation": ["n_nationkey"],
     "orders": ["o_orderkey"],
+    "pages": ["page_id"],
     "part": ["p_partkey"],
     "region": ["r_regionkey"],
     "supplier": ["s_suppkey"],
@@ -31,12 +38,12 @@ REFERENCES = [
     Reference("lineitem", "l_suppkey", "supplier", "s_suppkey"),
     Reference("nation", "n_regionkey", "region", "r_regionkey"),
     Reference("orders", "o_custkey", "customer", "c_custkey"),
-    # Not declared anywhere: users of events as customers, to show orphans.
+    # Not every document has a label: the second one shows orphans.
     Reference("labels", "doc_id", "documents", "doc_id"),
     Reference("documents", "doc_id", "labels", "doc_id"),
 ]
 
-ALL_TABLES = sorted([*KEYS, "documents", "embeddings", "pages", "benchmark", "labels", "conversations"])
+ALL_TABLES = sorted(KEYS)
 
 
 def _key_sql(table: str, key: list[str]) -> str:
@@ -103,6 +110,59 @@ def table_row_counts(spark: SparkSession, d: str) -> DataFrame:
     return reports.row_counts({t: R.table(spark, d, t) for t in ALL_TABLES}, "table_name")
 
 
+_RANKED_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in ALL_TABLES)
+
+
+@query(
+    "tables_largest_first",
+    f"SELECT 'row counts' AS section, table_name, rows, CAST(row_number() OVER (ORDER BY rows DESC, table_name) AS INTEGER) AS place FROM ({_RANKED_SQL})",
+)
+def tables_largest_first(spark: SparkSession, d: str) -> DataFrame:
+    """A report section ordered by an expression: what of ``table_sizes`` the tables themselves tell."""
+    counts = reports.row_counts({t: R.table(spark, d, t) for t in ALL_TABLES}, "table_name")
+    place = F.row_number().over(Window.orderBy(F.col("rows").desc(), "table_name"))  # one row for each table
+    return reports.section(reports.largest_first(counts, F.col("rows"), "table_name").withColumn("place", place), "row counts")
+
+
+@query(
+    "lines_without_reversal",
+    """SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem a WHERE l_returnflag <> 'R' AND NOT EXISTS (
+  SELECT 1 FROM lineitem b WHERE b.l_returnflag = 'R' AND b.l_orderkey = a.l_orderkey AND b.l_partkey = a.l_partkey
+    AND b.l_suppkey = a.l_suppkey)""",
+)
+def lines_without_reversal(spark: SparkSession, d: str) -> DataFrame:
+    """The anti-join on three keys, as catalogs match constraints by schema, table and name."""
+    lines = R.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
+    kinds = lines.withColumn("constraint_type", F.when(F.col("l_returnflag") == "R", "REVERSAL").otherwise("SALE"))
+    wanted = ["l_orderkey", "l_partkey", "l_suppkey"]
+    sales = kinds.where("constraint_type = 'SALE'").select(*wanted)
+    return quality.missing_constraints(sales, kinds.select(*wanted, "constraint_type"), wanted, "REVERSAL")
+
+
+@query(
+    "megabytes_per_source",
+    "SELECT source, ROUND(SUM(strlen(text)) / 1048576.0, 2) AS total_mb FROM documents GROUP BY source",
+)
+def megabytes_per_source(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes as megabytes, over what both engines can measure."""
+    sized = R.table(spark, d, "documents").groupBy("source").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    return sized.select("source", megabytes(F.col("bytes")).alias("total_mb"))
+
+
+@query(
+    "windows_to_the_millisecond",
+    """SELECT CAST(time_bucket(INTERVAL '10 seconds', l_shipdate, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS window_start,
+  CAST(time_bucket(INTERVAL '10 seconds', l_shipdate, TIMESTAMP '1970-01-01') + INTERVAL '10 seconds' AS TIMESTAMP) AS window_end,
+  COUNT(*) AS line_items FROM lineitem GROUP BY 1, 2""",
+)
+def windows_to_the_millisecond(spark: SparkSession, d: str) -> DataFrame:
+    """Window bounds cut to TIMESTAMP(3)."""
+    windows = views.revenue_by_window(R.lines(spark, d), "ts", "10 seconds")
+    return views.millisecond_windows(windows).select(
+        *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")), "line_items"
+    )
+
+
 @query("table_sizes")
 def table_sizes(spark: SparkSession, d: str) -> DataFrame:
     """Rows and megabytes on disk, largest first.  SQL over the tables cannot see file sizes."""

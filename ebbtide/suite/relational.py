@@ -240,12 +240,15 @@ def abnormal_order_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "demand_spikes",
-    R.SQL + """SELECT goods_id, window_start, quantity, ROUND(usual, 2) AS usual FROM (
-  SELECT *, AVG(quantity) OVER past AS usual, COUNT(quantity) OVER past AS seen FROM (
-    SELECT goods_id, time_bucket(INTERVAL '90 days', ts, TIMESTAMP '1970-01-01') AS window_start,
-      CAST(SUM(goods_number) AS BIGINT) AS quantity FROM li GROUP BY 1, 2)
-  WINDOW past AS (PARTITION BY goods_id ORDER BY window_start ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
-WHERE seen = 3 AND quantity > 2.0 * usual""",
+    R.SQL + """, q AS (
+  SELECT goods_id, time_bucket(INTERVAL '90 days', ts, TIMESTAMP '1970-01-01') AS window_start,
+    CAST(SUM(goods_number) AS BIGINT) AS quantity FROM li GROUP BY 1, 2),
+f AS (SELECT goods_id, MIN(window_start) AS first FROM q GROUP BY 1),
+p AS (SELECT q.goods_id, q.window_start, q.quantity, COALESCE(SUM(o.quantity), 0) / 3.0 AS usual
+      FROM q JOIN f ON q.goods_id = f.goods_id AND q.window_start >= f.first + INTERVAL '270 days'
+      LEFT JOIN q o ON o.goods_id = q.goods_id AND o.window_start < q.window_start
+        AND o.window_start >= q.window_start - INTERVAL '270 days' GROUP BY ALL)
+SELECT goods_id, window_start, quantity, ROUND(usual, 2) AS usual FROM p WHERE quantity > 2.0 * usual""",
 )
 def demand_spikes(spark: SparkSession, d: str) -> DataFrame:
     return rounded(views.demand_spikes(R.lines(spark, d), "ts", "90 days", 3, 2.0), "usual")

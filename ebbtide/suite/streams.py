@@ -96,6 +96,73 @@ def category_revenue_reseeded(spark: SparkSession, d: str) -> DataFrame:
     return rounded(views.revenue_by_category(*tables), "revenue")
 
 
+# -- by the clock, after a restart, and with rows that expire
+
+def _settings(**other) -> Settings:
+    return Settings(fan_in=3, line_items=R.LINES, orders=R.ORDERS, products=R.PRODUCTS, **other)
+
+
+def _period_batch(spark: SparkSession, d: str, period: int) -> DataFrame:
+    """A period of the log as one micro-batch, read at the beginning of that period."""
+    changes = topics.file_changes(spark, f"{R.log(spark, d).path}/period={period}", streaming=False).select("topic", "value")
+    return changes.withColumn("proc_time", F.expr(f"make_timestamp({period}, 1, 1, 0, 0, 0)"))
+
+
+@query(
+    "windows_by_read_time",
+    R.SQL + """SELECT make_timestamp(year(tm) - year(tm) % 2, 1, 1, 0, 0, 0) AS window_start,
+  make_timestamp(year(tm) - year(tm) % 2, 1, 1, 0, 0, 0) + INTERVAL '10 seconds' AS window_end,
+  CAST(SUM(w) AS BIGINT) AS line_items, ROUND(SUM(w * (deal_price * goods_number)), 2) AS revenue
+FROM lc GROUP BY 1, 2 HAVING SUM(w) <> 0""",
+)
+def windows_by_read_time(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of processing time: all changes of a micro-batch fall into the window in which it was read."""
+    job = StatementSet(spark, work_dir(spark, "read-time"), _settings())
+    job.create_if_absent()
+    for number, period in enumerate(R.log(spark, d).periods):
+        job.apply(_period_batch(spark, d, period), number)
+    rows = job.read("revenue_by_window")
+    for c in ("window_start", "window_end"):
+        rows = rows.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return rounded(rows, "revenue")
+
+
+@query("streamed_revenue_resumed", R.SQL + CATEGORY_SQL.format(li="li2", gi="gi2"))
+def streamed_revenue_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """The job stopped halfway and started again from its checkpoint, by another instance, with new files since."""
+    log, root, inbox = R.log(spark, d), work_dir(spark, "resumed"), work_dir(spark, "inbox")
+    half = len(log.periods) // 2
+    for periods in (log.periods[:half], log.periods[half:]):
+        paths = [f"{log.path}/period={p}" for p in periods]
+        part = [topics.file_changes(spark, p, streaming=False) for p in paths]
+        together = part[0]
+        for other in part[1:]:
+            together = together.unionByName(other)
+        topics.write_changes(together, inbox)
+        stream = topics.file_changes(spark, inbox)
+        job = StatementSet(spark, root, _settings(window_on="event_time"))
+        job.start(stream, drain=True).awaitTermination()
+    return rounded(job.read("revenue_by_category"), "revenue")
+
+
+@query(
+    "streamed_lines_with_expiry",
+    R.SQL + """, seen AS (SELECT rec_id, MAX(year(tm) - year(tm) % 2) AS touched FROM lc GROUP BY 1)
+SELECT rec_id, order_id, goods_id, deal_price FROM li2 JOIN seen USING (rec_id)
+WHERE touched > (SELECT MAX(touched) - 4 FROM seen)""",
+)
+def streamed_lines_with_expiry(spark: SparkSession, d: str) -> DataFrame:
+    """The join state under a time to live of four years: rows touched in the last two periods."""
+    job = StatementSet(spark, work_dir(spark, "expiry"), _settings(ttl={R.LINES.name: "4 years"}))
+    job.create_if_absent()
+    periods = R.log(spark, d).periods
+    for number, period in enumerate(periods):
+        job.apply(_period_batch(spark, d, period), number)
+    last = F.expr(f"make_timestamp({periods[-1]}, 1, 1, 0, 0, 0)")
+    lines = job.state["lines"].read(len(periods) - 1, last - F.expr("INTERVAL 4 years"))
+    return lines.select("rec_id", "order_id", "goods_id", "deal_price")
+
+
 @query(
     "upserted_line_items",
     R.SQL + """SELECT rec_id, order_id, goods_id, goods_price, deal_price, goods_number,

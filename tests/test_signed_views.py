@@ -109,6 +109,10 @@ def test_demand_spikes_need_a_full_history(spark):
     )
     found = views.demand_spikes(li, "t", "1 day", history=2, factor=3.0)
     assert rows(found, "goods_id", "quantity", "usual") == [(5, 9, 1.0)]
+    # Days without a sale count as zero.
+    gap = li.where("d <> '2024-01-02'")
+    found = views.demand_spikes(gap, "t", "1 day", history=2, factor=3.0)
+    assert rows(found, "goods_id", "quantity", "usual") == [(5, 9, 0.5)]
 
 
 def test_size_check_follows_the_limit(spark):
