@@ -30,6 +30,33 @@ def enriched(lines: DataFrame, orders: DataFrame, products: DataFrame, salts: in
     )
 
 
+def sold_products(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with their product: what the category, anomaly and enriched results have in common."""
+    li = S.project(lines, "rec_id", "order_id", "goods_id", "goods_price", "deal_price", "goods_number")
+    gi = S.project(products, "goods_id", "brand", F.col("category_level1").alias("category"))
+    return S.join(li, gi, "goods_id")
+
+
+def with_orders(sold: DataFrame, orders: DataFrame) -> DataFrame:
+    """``enriched`` of lines that have met their product."""
+    joined = S.join(sold, S.project(orders, "order_id", "country"), "order_id")
+    return S.project(
+        joined, "rec_id", "order_id", "country", "brand", "category", "deal_price", "goods_number"
+    )
+
+
+def category_sums(sold: DataFrame, exact: bool = False) -> DataFrame:
+    """``category_deltas`` of lines that have met their product."""
+    return sold.groupBy("category").agg(*signed_sums(sold, line_amount(exact)))
+
+
+def anomalies_among(sold: DataFrame) -> DataFrame:
+    """``pricing_anomalies`` of lines that have met their product."""
+    return S.project(
+        priced_above_list(sold), "rec_id", "order_id", "brand", "goods_price", "deal_price", "goods_number"
+    )
+
+
 def category_deltas(lines: DataFrame, products: DataFrame, exact: bool = False) -> DataFrame:
     """Line-items, revenue and priced line-items per category, summed with their signs.
 

@@ -1,10 +1,14 @@
 """All four result views from one change stream, as one job.
 
-Each micro-batch is decoded once, folded to one net change per key, and joined
-with the keyed state of the other tables:
+Each micro-batch is folded to one net change per key and joined with the keyed
+state of the other tables:
 
     changes of A  x  B as it was   +   A as it is  x  changes of B
 
+What changes in lines x products is worked out once and feeds categories,
+anomalies and enriched rows. Line events are parsed a second time for the
+windows, which need each change and not the net one.
+
 State holds at most one row per key, so retractions of rows that have expired,
 or that were never seen, cannot multiply into phantom rows.  Source state and
 results are segment tables: running a batch again rewrites the same segments
@@ -199,16 +203,16 @@ class StatementSet:
         old = cache(lambda name: self._read_state(name, number - 1, at))
         new = cache(lambda name: self._read_state(name, number, at))
         delta = {name: changelog.signed_changes(changelog.changed(net)) for name, net in nets.items()}
-        jobs = []
-        pairs = _line_product_changes(delta, old, new, ranges)
-        if pairs:
-            sums = _concat([views.category_deltas(li, gi) for li, gi in pairs])
+        jobs, sold = [], _sold_changes(delta, old, new, ranges)
+        if sold is not None:
+            sold = sold.persist()
+            sums = views.category_sums(sold)
             jobs.append(lambda: self.categories.write(number, self.categories.fold(sums)))
-            found = keyed_changes(S.union(*[views.pricing_anomalies(li, gi) for li, gi in pairs]), self.anomalies.spec)
+            found = keyed_changes(views.anomalies_among(sold), self.anomalies.spec)
             jobs.append(lambda: self.anomalies.write(number, found, at))
-        triples = _enriched_changes(delta, old, new, ranges)
-        if triples:
-            rows = S.union(*[views.enriched(li, oi, gi) for li, oi, gi in triples])
+        parts = _enriched_changes(sold, delta, old, new, ranges)
+        if parts:
+            rows = S.union(*parts)
             jobs.append(lambda: self.enriched.write(number, keyed_changes(rows, self.enriched.spec), at))
         if "lines" in events:
             lines = changelog.signed(events["lines"])
@@ -216,7 +220,11 @@ class StatementSet:
             time = F.col("proc_time") if by_read else F.timestamp_millis("ts_ms")
             windows = views.window_deltas(lines, time, self.settings.window)
             jobs.append(lambda: self.windows.write(number, windows))
-        together(self.spark, *jobs)
+        try:
+            together(self.spark, *jobs)
+        finally:
+            if sold is not None:
+                sold.unpersist()
 
     # -- expiry
     def _deadline(self, name: str, at: Column) -> Column | None:
@@ -232,13 +240,6 @@ def _as_upserts(net: DataFrame, spec: TableSpec) -> DataFrame:
     return net.select(*columns, F.col("after").isNull().alias("_deleted"))
 
 
-def _concat(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def _key_ranges(net: DataFrame, columns: tuple[str, ...]) -> dict[str, tuple]:
     """The lowest and highest value of each join column among the changes."""
     ends = net.agg(
@@ -258,34 +259,28 @@ def _within(state: DataFrame, column: str, changes: dict[str, tuple]) -> DataFra
     return state.where(F.col(column).between(low, high)) if low is not None else state.where(F.lit(False))
 
 
-def _line_product_changes(
-    delta: dict, old: Callable, new: Callable, ranges: dict
-) -> list[tuple[DataFrame, DataFrame]]:
-    """What changes in lines x products, as pairs to join.
+def _sold_changes(delta: dict, old: Callable, new: Callable, ranges: dict) -> DataFrame | None:
+    """What changes in lines x products.
 
-    Tables without changes in this batch add no pair, so the state of the lines
+    Tables without changes in this batch add nothing, so the state of the lines
     is only scanned when an order or a product did change.
     """
-    pairs = []
+    parts = []
     if "lines" in delta:
-        pairs.append((delta["lines"], _within(old("products"), "goods_id", ranges["lines"])))
+        parts.append(views.sold_products(delta["lines"], _within(old("products"), "goods_id", ranges["lines"])))
     if "products" in delta:
-        pairs.append((_within(new("lines"), "goods_id", ranges["products"]), delta["products"]))
-    return pairs
+        parts.append(views.sold_products(_within(new("lines"), "goods_id", ranges["products"]), delta["products"]))
+    return S.union(*parts) if parts else None
 
 
-def _enriched_changes(
-    delta: dict, old: Callable, new: Callable, ranges: dict
-) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
-    """What changes in lines x orders x products, as triples to join."""
-    triples = []
-    if "lines" in delta:
-        orders = _within(old("orders"), "order_id", ranges["lines"])
-        triples.append((delta["lines"], orders, _within(old("products"), "goods_id", ranges["lines"])))
+def _enriched_changes(sold: DataFrame | None, delta: dict, old: Callable, new: Callable, ranges: dict) -> list[DataFrame]:
+    """What changes in (lines x products) x orders."""
+    parts = []
+    if sold is not None:
+        # Lines of changed products may belong to any order.
+        orders = old("orders") if "products" in delta else _within(old("orders"), "order_id", ranges["lines"])
+        parts.append(views.with_orders(sold, orders))
     if "orders" in delta:
         lines = _within(new("lines"), "order_id", ranges["orders"])
-        triples.append((lines, delta["orders"], old("products")))
-    if "products" in delta:
-        lines = _within(new("lines"), "goods_id", ranges["products"])
-        triples.append((lines, new("orders"), delta["products"]))
-    return triples
+        parts.append(views.enriched(lines, delta["orders"], new("products")))
+    return parts
