@@ -28,40 +28,57 @@ SQL_TYPES = {
 }
 
 
+def quoted(name: str) -> str:
+    """An identifier, as standard SQL quotes it."""
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _list(names) -> str:
+    return ", ".join(map(quoted, names))
+
+
 @dataclass(frozen=True)
 class JdbcUpsert:
+    """Keys may be NULL (a category can be unknown), so a unique index in which NULLs are equal stands in for a primary key."""
+
     url: str
     options: Mapping[str, str]
     first_seen: str | None = None
 
     def create_statement(self, spec: TableSpec) -> str:
-        columns = [f"{f.name} {SQL_TYPES[type(f.dataType)]}" for f in spec.schema.fields]
+        columns = [f"{quoted(f.name)} {SQL_TYPES[type(f.dataType)]}" for f in spec.schema.fields]
         if self.first_seen:
-            columns.append(f"{self.first_seen} timestamp DEFAULT now()")
-        columns.append(f"PRIMARY KEY ({', '.join(spec.key)})")
-        return f"CREATE TABLE IF NOT EXISTS {spec.name} ({', '.join(columns)})"
+            columns.append(f"{quoted(self.first_seen)} timestamp DEFAULT now()")
+        return f"CREATE TABLE IF NOT EXISTS {quoted(spec.name)} ({', '.join(columns)})"
+
+    def key_statement(self, spec: TableSpec) -> str:
+        return (
+            f"CREATE UNIQUE INDEX IF NOT EXISTS {quoted(spec.name + '_key')} ON {quoted(spec.name)} "
+            f"({_list(spec.key)}) NULLS NOT DISTINCT"
+        )
 
     def delete_statement(self, spec: TableSpec, staging: str) -> str:
-        same = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in spec.key)
-        return f'DELETE FROM {spec.name} t USING {staging} s WHERE s."_deleted" AND {same}'
+        same = " AND ".join(f"t.{quoted(k)} IS NOT DISTINCT FROM s.{quoted(k)}" for k in spec.key)
+        return f'DELETE FROM {quoted(spec.name)} t USING {quoted(staging)} s WHERE s."_deleted" AND {same}'
 
     def upsert_statement(self, spec: TableSpec, staging: str) -> str:
-        names = ", ".join(spec.columns)
-        updates = ", ".join(f"{c} = EXCLUDED.{c}" for c in spec.values)
+        names = _list(spec.columns)
+        updates = ", ".join(f"{quoted(c)} = EXCLUDED.{quoted(c)}" for c in spec.values)
         action = f"UPDATE SET {updates}" if updates else "NOTHING"
         return (
-            f'INSERT INTO {spec.name} ({names}) SELECT {names} FROM {staging} WHERE NOT "_deleted" '
-            f"ON CONFLICT ({', '.join(spec.key)}) DO {action}"
+            f'INSERT INTO {quoted(spec.name)} ({names}) SELECT {names} FROM {quoted(staging)} WHERE NOT "_deleted" '
+            f"ON CONFLICT ({_list(spec.key)}) DO {action}"
         )
 
     def write(self, changes: DataFrame, spec: TableSpec) -> None:
         """Apply one row per key, with ``_deleted``, to the target table."""
         staging = f"{spec.name}_staging"
         writer = changes.select(*spec.columns, "_deleted").write.format("jdbc").mode("overwrite")
-        writer.option("url", self.url).option("dbtable", staging).options(**self.options).save()
+        writer.option("url", self.url).option("dbtable", quoted(staging)).options(**self.options).save()
         self._run(
             changes,
             self.create_statement(spec),
+            self.key_statement(spec),
             self.delete_statement(spec, staging),
             self.upsert_statement(spec, staging),
         )

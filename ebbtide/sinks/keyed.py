@@ -24,6 +24,8 @@ from ebbtide.sinks.files import Folder
 from ebbtide.specs import TableSpec
 
 START = -1
+#: Batches for which a replaced segment stays, for readers that began before it was replaced.
+KEEP_REPLACED = 20
 
 
 @dataclass(frozen=True, order=True)
@@ -109,6 +111,7 @@ class _SegmentedTable:
         """
         if fan_in < 2:
             raise ValueError("fan_in must be at least 2")
+        self.drop_replaced(as_of - KEEP_REPLACED)
         segments = self.segments(as_of)
         if len(segments) < fan_in:
             return None
@@ -130,6 +133,19 @@ class _SegmentedTable:
     def _merged(self, segments: list[Segment]) -> DataFrame:
         raise NotImplementedError
 
+    def drop_replaced(self, before: int) -> list[str]:
+        """Delete segments replaced by one that ends at batch ``before`` or earlier.
+
+        ``compact`` does so in every batch, so the folder holds the live segments
+        and those replaced lately, however old the job is.
+        """
+        wide = [s for s in self.segments(before) if s.low < s.high] if before > START else []
+        found = [Segment.parse(name) for name in self.folder.list()] if wide else []
+        retired = [s.name for s in found if s is not None and any(w.covers(s) for w in wide)]
+        for name in retired:
+            self.folder.remove(name)
+        return retired
+
     def vacuum(self) -> list[str]:
         """Delete segments that a wider one replaces.  Call it when no reader is using them."""
         live = {s.name for s in self.segments()}

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ebbtide.sinks import keyed
 from ebbtide.sinks.jdbc import JdbcUpsert
 from ebbtide.sinks.keyed import Segment, SumTable, UpsertTable, keyed_changes
 from ebbtide.specs import PRICING_ANOMALIES, TableSpec
@@ -139,17 +140,33 @@ def test_signed_rows_fold_to_one_change_per_key(spark):
     assert rows(keyed_changes(signed, PAIR)) == [("a", 2, False), ("b", None, True), ("d", None, False)]
 
 
+def test_replaced_segments_go_while_the_job_runs(spark, tmp_path, monkeypatch):
+    """However many batches there were, the folder holds the live segments and those replaced lately."""
+    monkeypatch.setattr(keyed, "KEEP_REPLACED", 4)
+    table = SumTable(spark, str(tmp_path / "total"), TOTAL, "n")
+    table.create_if_absent()
+    most = 0
+    for batch in range(60):
+        table.compact(batch - 1, fan_in=3)
+        table.write(batch, spark.createDataFrame([("a", 1, 1.0)], "k STRING, n BIGINT, x DOUBLE"))
+        most = max(most, len(table.folder.list()))
+    assert most <= 20
+    assert rows(SumTable(spark, str(tmp_path / "total"), TOTAL, "n").read()) == [("a", 60, 60.0)]
+    assert rows(table.read(as_of=58)) == [("a", 59, 59.0)]
+
+
 def test_upsert_statements():
-    sink = JdbcUpsert("jdbc:postgresql://host/db", {"user": "u"}, "detected_at")
-    spec = PRICING_ANOMALIES
-    assert sink.create_statement(spec) == (
-        "CREATE TABLE IF NOT EXISTS pricing_anomalies (rec_id bigint, order_id integer, brand text, "
-        "goods_price double precision, deal_price double precision, goods_number integer, "
-        "detected_at timestamp DEFAULT now(), PRIMARY KEY (rec_id))"
+    sink = JdbcUpsert("jdbc:x", {}, first_seen="detected_at")
+    assert "PRIMARY KEY" not in sink.create_statement(PRICING_ANOMALIES)
+    assert '"detected_at" timestamp DEFAULT now()' in sink.create_statement(PRICING_ANOMALIES)
+    assert sink.key_statement(PRICING_ANOMALIES) == (
+        'CREATE UNIQUE INDEX IF NOT EXISTS "pricing_anomalies_key" ON "pricing_anomalies" ("rec_id") NULLS NOT DISTINCT'
     )
-    upsert = sink.upsert_statement(spec, "s")
-    assert "ON CONFLICT (rec_id) DO UPDATE SET order_id = EXCLUDED.order_id" in upsert
-    assert "detected_at" not in upsert
-    assert sink.delete_statement(spec, "s") == (
-        'DELETE FROM pricing_anomalies t USING s s WHERE s."_deleted" AND t.rec_id IS NOT DISTINCT FROM s.rec_id'
+    assert sink.delete_statement(PRICING_ANOMALIES, "stage") == (
+        'DELETE FROM "pricing_anomalies" t USING "stage" s WHERE s."_deleted" AND t."rec_id" IS NOT DISTINCT FROM s."rec_id"'
     )
+    upsert = sink.upsert_statement(TOTAL, "stage")
+    assert upsert.startswith('INSERT INTO "total" ("k", "n", "x") SELECT "k", "n", "x" FROM "stage" WHERE NOT "_deleted" ')
+    assert upsert.endswith('ON CONFLICT ("k") DO UPDATE SET "n" = EXCLUDED."n", "x" = EXCLUDED."x"')
+    odd = TableSpec.of('a"b', "k", k="string")
+    assert '"a""b"' in sink.create_statement(odd) and sink.upsert_statement(odd, "s").endswith("DO NOTHING")
