@@ -14,7 +14,7 @@ from ebbtide.llm.registry import table
 from ebbtide.session import work_dir
 
 #: Near duplicates: shingles of five words, similarity of 0.8 or more.
-NEAR = jaccard_join.Rule(words=5, over=80, under=100)
+NEAR = jaccard_join.Rule(words=5, over=80, under=100, sketch=2)
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

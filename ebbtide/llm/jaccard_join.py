@@ -8,7 +8,8 @@ intersected for each candidate before its sets are compared.
 
 Nodes that share a token are compared in groups of bounded size: a group keeps
 pairs whose sizes and parity sketches allow the similarity (the sketches of two
-sets differ in at most as many bits as the sets do in tokens). Large groups keep
+sets differ in at most as many bits as the sets do in tokens). A pair is left to
+the group of its first common token where the first tokens of both tell. Large groups keep
 a spanning forest of such pairs only. If a pair of a forest turns out false,
 its components are compared again, this time with every pair between them.
 """
@@ -39,9 +40,11 @@ COUNTED_FROM = 3
 #: Nodes of a group that are compared at once; tokens of more are laid out in tiles.
 TILE = 4096
 #: Groups up to this size keep every possible pair, larger ones a forest.
-SMALL_GROUP = 24
-#: 64-bit words of the parity sketches: of the first join, and of the second.
-SKETCH, FINE_SKETCH = 2, 16
+SMALL_GROUP = 64
+#: 64-bit words of the parity sketches of the second join.
+FINE_SKETCH = 16
+#: First tokens of a node that each of its rows carries.
+FIRST = 2
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -49,11 +52,12 @@ _LOWER[65:91] += 32
 
 @dataclass(frozen=True)
 class Rule:
-    """Shingles of ``words`` words; similar from ``over / under`` on."""
+    """Shingles of ``words`` words; similar from ``over / under`` on; words of the first sketches."""
 
     words: int = 3
     over: int = 90
     under: int = 100
+    sketch: int = 4
 
     def prefix(self, n: int) -> int:
         """Tokens of a set of ``n`` that suffice to meet every similar set."""
@@ -117,7 +121,7 @@ def sketch(tokens: np.ndarray, size: int) -> bytes:
 
 def own_sketch(tokens: np.ndarray) -> bytes:
     """A sketch with about as many bins as there are tokens."""
-    return sketch(tokens, max(SKETCH, 1 << (max(1, len(tokens) // 64) - 1).bit_length()))
+    return sketch(tokens, max(2, 1 << (max(1, len(tokens) // 64) - 1).bit_length()))
 
 
 def difference(x: bytes, y: bytes) -> int:
@@ -175,7 +179,7 @@ def _survey(rule: Rule):
                 yield rows(0, *map(list, zip(*out)))
             if seen:
                 tally.add(np.concatenate(seen))
-            if tally.size() > 1 << 22:
+            if tally.size() > 1 << 21:
                 yield counted(tally)
         yield counted(tally)
 
@@ -203,11 +207,15 @@ def _tiled(token: int, node: int, tiles: int) -> list[int]:
 
 
 def _prefix_rows(common, counts, size: int, nodes: list[tuple]) -> pa.RecordBatch:
-    """``key, node, component, n, s`` for each prefix token of ``nodes`` (node, component, tokens, prefix length)."""
+    """``key, node, component, n, s`` for each prefix token of ``nodes`` (node, component, tokens, prefix length).
+
+    ``s`` holds the sketch, the node's first tokens, and how many of them come
+    before the row's own token.
+    """
     key, node, comp, n, s = [], [], [], [], []
     for name, component, tokens, prefix in nodes:
-        drawn = sketch(tokens, size)
         first = _sort_order(tokens, common)[:prefix]
+        rank = np.minimum(np.arange(prefix), FIRST)
         keys = first
         if len(counts[0]):
             at = np.minimum(np.searchsorted(counts[0], first), len(counts[0]) - 1)
@@ -215,13 +223,18 @@ def _prefix_rows(common, counts, size: int, nodes: list[tuple]) -> pa.RecordBatc
             if many.any():
                 wide = [_tiled(int(t), name, -(-int(c) // TILE)) for t, c in zip(first[many], counts[1][at][many])]
                 keys = np.concatenate([first[~many], *(np.array(x, np.uint64) for x in wide)])
-        key.append(keys)
+                rank = np.concatenate([rank[~many], np.repeat(rank[many], [len(x) for x in wide])])
         m = len(keys)
+        row = np.zeros((m, size + FIRST + 1), np.uint64)
+        row[:, :size] = np.frombuffer(sketch(tokens, size), np.uint64)
+        row[:, size : size + min(FIRST, prefix)] = first[:FIRST]
+        row[:, -1] = rank
+        key.append(keys)
         node.append(np.full(m, name, np.int64))
         comp.append(np.full(m, component, np.int64))
         n.append(np.full(m, len(tokens), np.int32))
-        s.append(drawn * m)
-    width = 8 * size
+        s.append(row.tobytes())
+    width = 8 * (size + FIRST + 1)
     total = sum(map(len, key))
     data = pa.py_buffer(b"".join(s))
     offsets = pa.py_buffer((np.arange(total + 1) * width).astype(np.int32))
@@ -256,8 +269,14 @@ def _forest(node, component, n, bits, rule: Rule):
 
 
 def _possible(x, others, component, n, bits, rule: Rule) -> np.ndarray:
-    different = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1).astype(np.int64)
-    return (component[others] != component[x]) & rule.may_be_similar(n[others], n[x], different)
+    """Which of ``others`` may be similar to ``x`` and meet it in this group first, as far as their first tokens tell."""
+    size = bits.shape[1] - FIRST - 1
+    different = np.bitwise_count(bits[others, :size] ^ bits[x, :size]).sum(axis=1).astype(np.int64)
+    ok = (component[others] != component[x]) & rule.may_be_similar(n[others], n[x], different)
+    for p in range(int(bits[x, -1])):
+        for q in range(FIRST):
+            ok &= ~((bits[others, size + q] == bits[x, size + p]) & (bits[others, -1] > q))
+    return ok
 
 
 def _pairs(rule: Rule, all_pairs: bool):
@@ -303,7 +322,7 @@ def _pairs(rule: Rule, all_pairs: bool):
                     if pair not in seen:
                         seen.add(pair)
                         out.append(pair)
-            if len(seen) > 500_000:
+            if len(seen) > 100_000:
                 seen.clear()
 
         def flushed():
@@ -454,7 +473,7 @@ class Join:
                             seen.add(name)
                             nodes.append((name, name, tokens, rule.prefix(len(tokens))))
                 if nodes:
-                    yield _prefix_rows(common, counts, SKETCH, nodes)
+                    yield _prefix_rows(common, counts, rule.sketch, nodes)
 
         return self.docs.select("text").mapInArrow(run, _PREFIX)
 

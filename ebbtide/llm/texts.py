@@ -83,11 +83,17 @@ def _letters(which: int) -> np.ndarray:
     return np.random.default_rng(9_001 + which).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
-@cache
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """At least ``n`` powers of a base; the longest run asked for is kept."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        held = np.full(n, base, np.uint64)
+        held[0] = 1
+        _POWERS[base] = held = np.multiply.accumulate(held)
+    return held
 
 
 def strings(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
