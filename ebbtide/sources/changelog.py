@@ -164,8 +164,9 @@ def against_stored(net: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFr
     """Net changes with the row that is stored in place of the row before.
 
     A key that is not stored has no row before, so whatever its first event
-    says it adds the row after and nothing else. ``stored`` is only met by the
-    changed keys.
+    says it adds the row after and nothing else; ``unseen`` marks such keys if
+    the event retracts a row other than the one after. ``stored`` is only met by
+    the changed keys.
     """
     same = F.lit(True)
     for k in spec.key:
@@ -177,7 +178,10 @@ def against_stored(net: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFr
     at = F.lit(True)
     for k in spec.key:
         at = at & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return net.join(matched, at, "left").select(*spec.key, F.col("_stored").alias("before"), "after")
+    lost = F.col("_stored").isNull() & F.col("before").isNotNull() & ~F.col("before").eqNullSafe(F.col("after"))
+    return net.join(matched, at, "left").select(
+        *spec.key, F.col("_stored").alias("before"), "after", lost.alias("unseen")
+    )
 
 
 def signed_changes(net: DataFrame) -> DataFrame:

@@ -135,3 +135,6 @@ PRICING_ANOMALIES = TableSpec.of(
 # unpriced group (NULL revenue) from one worth nothing.
 CATEGORY_TOTALS = REVENUE_BY_CATEGORY.widened(priced="bigint")
 WINDOW_TOTALS = REVENUE_BY_WINDOW.widened(priced="bigint")
+
+# Retractions of rows that the job never saw, by source table.
+UNMATCHED = TableSpec.of("unmatched_retractions", "table_name", table_name="string", retractions="bigint")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.sources.changelog import split_rejects
+from ebbtide.specs import TableSpec
+
 
 def rates(events: DataFrame, time: Column | str, by: str, every: str = "1 second") -> DataFrame:
     """Events per ``every`` and kind.  Works on batch and streaming input."""
@@ -18,3 +21,10 @@ def rates(events: DataFrame, time: Column | str, by: str, every: str = "1 second
 def totals(events: DataFrame, by: str) -> DataFrame:
     """Events per kind over the whole log."""
     return events.groupBy(by).agg(F.count(F.lit(1)).alias("events"))
+
+
+def outcomes(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """``outcome, events`` of raw events (``value``): how many can be applied, and how many show which fault."""
+    good, bad = split_rejects(raw, spec)
+    named = good.select(F.lit("applied").alias("outcome")).unionByName(bad.select(F.col("fault").alias("outcome")))
+    return totals(named, "outcome")

@@ -85,6 +85,7 @@ class StatementSet:
         self.windows = SumTable(
             spark, self._at("revenue_by_window"), specs.WINDOW_TOTALS, "line_items", False
         )
+        self.unmatched = SumTable(spark, self._at(specs.UNMATCHED.name), specs.UNMATCHED, "retractions")
 
         names = {t.spec.name for t in self.state.values()}
         if strange := set(s.topics) - names:
@@ -99,7 +100,7 @@ class StatementSet:
 
     @property
     def tables(self) -> list:
-        return [*self.state.values(), self.enriched, self.anomalies, self.categories, self.windows]
+        return [*self.state.values(), self.enriched, self.anomalies, self.categories, self.windows, self.unmatched]
 
     def create_if_absent(self) -> None:
         for table in self.tables:
@@ -107,7 +108,11 @@ class StatementSet:
 
     # -- reading
     def read(self, name: str) -> DataFrame:
-        """One of the four result tables as it is now."""
+        """One of the four result tables as it is now, or ``unmatched_retractions``.
+
+        The latter counts what was taken back of tables without a ``ttl`` but was
+        never there; with a ``ttl`` such rows cannot be told from expired ones.
+        """
         if name == "enriched_line_items":
             return self.enriched.read()
         if name == "pricing_anomalies":
@@ -116,6 +121,8 @@ class StatementSet:
             return views.published(self.categories.read())
         if name == "revenue_by_window":
             return views.published(self.windows.read())
+        if name == specs.UNMATCHED.name:
+            return self.unmatched.read()
         raise KeyError(name)
 
     # -- running
@@ -153,7 +160,7 @@ class StatementSet:
             raise ValueError(f"records of unknown topics {sorted(map(str, strange))}; name them in Settings.topics")
         before = number - 1
         at = F.lit(max(topics_at.values()))
-        results = (self.enriched, self.anomalies, self.categories, self.windows)
+        results = (self.enriched, self.anomalies, self.categories, self.windows, self.unmatched)
         fan_in = self.settings.fan_in
         together(
             self.spark,
@@ -177,6 +184,9 @@ class StatementSet:
             # leaves the old one readable.
             together(self.spark, *[lambda n=n: self._write_state(n, number, nets[n], at) for n in nets])
             self._write_results(number, events, nets, ranges, at)
+            lost = [(self.state[n].spec.name, r["unseen"]) for n, r in ranges.items() if r["unseen"]]
+            if lost:
+                self.unmatched.write(number, self.spark.createDataFrame(lost, "table_name STRING, retractions BIGINT"))
         finally:
             for net in nets.values():
                 net.unpersist()
@@ -195,7 +205,7 @@ class StatementSet:
         table = self.state[name]
         net = changelog.net_changes(events, table.spec, keep_unchanged=True)
         if self._deadline(name, at) is not None:
-            return net
+            return net.withColumn("unseen", F.lit(False))
         return changelog.against_stored(net, table.read(before), table.spec)
 
     def _write_results(self, number: int, events: dict, nets: dict, ranges: dict, at: Column) -> None:
@@ -240,13 +250,14 @@ def _as_upserts(net: DataFrame, spec: TableSpec) -> DataFrame:
     return net.select(*columns, F.col("after").isNull().alias("_deleted"))
 
 
-def _key_ranges(net: DataFrame, columns: tuple[str, ...]) -> dict[str, tuple]:
-    """The lowest and highest value of each join column among the changes."""
+def _key_ranges(net: DataFrame, columns: tuple[str, ...]) -> dict:
+    """The lowest and highest value of each join column among the changes, and how many are ``unseen``."""
     ends = net.agg(
+        F.count(F.when(F.col("unseen"), 1)).alias("unseen"),
         *[F.min(F.least(f"before.{c}", f"after.{c}")).alias(f"low_{c}") for c in columns],
         *[F.max(F.greatest(f"before.{c}", f"after.{c}")).alias(f"high_{c}") for c in columns],
     ).first()
-    return {c: (ends[f"low_{c}"], ends[f"high_{c}"]) for c in columns}
+    return {"unseen": ends["unseen"], **{c: (ends[f"low_{c}"], ends[f"high_{c}"]) for c in columns}}
 
 
 def _within(state: DataFrame, column: str, changes: dict[str, tuple]) -> DataFrame:

@@ -229,3 +229,15 @@ def unmatched_retractions(spark: SparkSession, d: str) -> DataFrame:
 def change_rates(spark: SparkSession, d: str) -> DataFrame:
     events = R.decoded(spark, d, R.LINES).select("op", R.at_time().alias("at"))
     return rates.rates(events, "at", "op", "1 second")
+
+
+@query(
+    "change_outcomes",
+    R.SQL + """SELECT CASE WHEN op = 'd' THEN 'unknown operation x' ELSE 'applied' END AS outcome, COUNT(*) AS events
+FROM lc WHERE NOT (op = 'u' AND w < 0) GROUP BY 1""",
+)
+def change_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Error counts of a log in which deletions carry an operation that nobody knows."""
+    raw = topics.file_changes(spark, R.log(spark, d).path, streaming=False).where(F.col("topic") == R.LINES.name)
+    broken = raw.withColumn("value", F.replace("value", F.lit('"op":"d"'), F.lit('"op":"x"')))
+    return rates.outcomes(broken, R.LINES)

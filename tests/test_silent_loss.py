@@ -112,3 +112,13 @@ def test_topic_names(spark, tmp_path):
 def test_a_bounded_read_cannot_start_at_the_end(spark):
     with pytest.raises(ValueError, match="bounded"):
         topics.kafka_changes(spark, "nowhere:9092", {"order_goods": topics.LATEST}, streaming=False)
+
+
+def test_unmatched_retractions_are_counted(spark, tmp_path):
+    log = Log()
+    log.delete(ORDER_GOODS, line(1, 10, 5, 10.0, 12.0, 2)).update(ORDER_GOODS, line(2, 10, 5, 10.0, 12.0, 2), line(2, 10, 5, 10.0, 11.0, 2))
+    no_op(log, GOODS_INFO, product(5, "food"))
+    log.insert(ORDER_INFO, order(10)).update(ORDER_INFO, order(10), order(10, "FR"))
+    job = job_of(spark, tmp_path, [log])
+    assert rows(job.read("unmatched_retractions")) == [("order_goods", 2)]
+    assert rows(job.read("revenue_by_category")) == [("food", 1, 22.0)]
