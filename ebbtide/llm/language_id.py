@@ -28,8 +28,9 @@ ORDER = 5
 SAMPLE = 600
 #: One in so many of them calibrates and is not fitted on.
 CALIBRATE_ONE_IN = 5
-#: Standard deviations above a language's usual cross-entropy from which a text is rejected.
-REJECT_AT = 8.0
+#: Standard deviations above a language's usual cross-entropy from which a text is rejected: texts that mix two
+#: known languages stay well below, letters in random order lie far above.
+REJECT_AT = 20.0
 #: Characters beyond which a text's cross-entropy is not trusted more.
 FULL_TRUST = 400
 UNKNOWN = "und"
