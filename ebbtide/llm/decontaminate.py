@@ -103,31 +103,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .write.parquet(f"{root}/met")
     )
     met = spark.read.parquet(f"{root}/met")
+    # Places of an item stay lists until documents are few: a list is as long as the item at most.
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.lit(WINDOW - 1)))))
-    spread = met.select("uid", "item_id", "shift", F.explode(covered).alias("place"))
+    all_places = F.array_distinct(F.flatten(F.transform("parts", lambda p: p["places"])))
+    lengths = items.groupBy("item_id").agg(F.max(F.size("tokens")).alias("n_tokens"))
     enough = (
-        spread.groupBy("uid", "item_id")
-        .agg(F.count_distinct("place").alias("n_found"))
-        .join(items.select("item_id", F.size("tokens").alias("n_tokens")).groupBy("item_id").agg(F.max("n_tokens").alias("n_tokens")), "item_id")
+        met.groupBy("uid", "item_id")
+        .agg(F.collect_list(F.struct("shift", covered.alias("places"))).alias("parts"))
+        .withColumn("n_found", F.size(all_places).cast("bigint"))
+        .join(lengths, "item_id")
         .where((F.col("n_found") >= FOUND_TOKENS) | (F.col("n_found") >= F.col("n_tokens") * FOUND_SHARE))
     )
+
     # What stands in the slots: of candidates only.
-    filled = bound(
-        raw_tokens(F.col("text")),
-        lambda t: F.transform(
-            "places",
-            lambda p: F.struct(
-                *(p[c].alias(c) for c in ("item_id", "place", "n_found", "n_tokens")),
-                F.element_at(t, p["place"] + p["shift"] + 1).alias("theirs"),
-            ),
-        ),
-    )
+    def filled(tokens: Column) -> Column:
+        def of_part(held: Column, part: Column) -> Column:
+            return F.transform(
+                part["places"],
+                lambda at: F.struct(
+                    *(held[c].alias(c) for c in ("item_id", "n_found", "n_tokens")),
+                    at.alias("place"),
+                    F.element_at(tokens, at + part["shift"] + 1).alias("theirs"),
+                ),
+            )
+
+        return F.flatten(F.transform("held", lambda h: F.flatten(F.transform(h["parts"], lambda p: of_part(h, p)))))
+
     in_docs = (
-        spread.join(enough, ["uid", "item_id"])
-        .groupBy("uid")
-        .agg(F.collect_list(F.struct("item_id", "shift", "place", "n_found", "n_tokens")).alias("places"))
+        enough.groupBy("uid")
+        .agg(F.collect_list(F.struct("item_id", "n_found", "n_tokens", "parts")).alias("held"))
         .join(keyed, "uid")
-        .select("doc_id", "uid", F.xxhash64("text").alias("text_hash"), F.explode(filled).alias("p"))
+        .select("doc_id", "uid", F.xxhash64("text").alias("text_hash"), F.explode(bound(raw_tokens(F.col("text")), filled)).alias("p"))
         .select("doc_id", "uid", "text_hash", "p.*")
     )
     in_items = items.select("item_id", F.posexplode("tokens").alias("place", "ours"))
