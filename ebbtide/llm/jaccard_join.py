@@ -35,8 +35,10 @@ from ebbtide.session import work_dir
 
 #: Tokens that come last in the first order: those in most documents.
 COMMON_TOKENS = 1 << 18
-#: Documents of a task from which a token is counted; a token misses as many for each task at most.
+#: Documents of a task from which a token is counted, and tokens that a task counts at once. Beyond them it forgets
+#: those seen once, so a token may miss a few documents of each task; this moves it in the order and changes no result.
 COUNTED_FROM = 3
+COUNTED_AT_ONCE = 1 << 20
 #: Nodes of a group that are compared at once; tokens of more are laid out in tiles.
 TILE = 4096
 #: Groups up to this size keep every possible pair, larger ones a forest.
@@ -163,7 +165,7 @@ def _survey(rule: Rule):
         return rows(1, keys.view(np.int64), nothing, nothing, c, nothing, nothing, nothing)
 
     def run(batches):
-        tally = Tally()
+        tally = Tally(COUNTED_AT_ONCE)
         for batch in batches:
             uid = integers(batch, "uid")
             out, seen = [], []
@@ -179,8 +181,10 @@ def _survey(rule: Rule):
                 yield rows(0, *map(list, zip(*out)))
             if seen:
                 tally.add(np.concatenate(seen))
-            if tally.size() > 1 << 21:
-                yield counted(tally)
+            if tally.size() > COUNTED_AT_ONCE:
+                tally.drop_single()
+                if tally.size() > COUNTED_AT_ONCE // 2:
+                    yield counted(tally)
         yield counted(tally)
 
     return run
@@ -560,13 +564,14 @@ def similar_groups(docs: DataFrame, rule: Rule) -> DataFrame:
     """
     keyed = identified(docs, "jaccard-docs")
     # uid, n, node and component of each document; documents without a node stand for themselves.
-    found = Join(keyed, rule).run()
+    join = Join(keyed, rule)
+    found = join.run()
     ids = keyed.select("uid", "doc_id", "copies", F.xxhash64("text").alias("text_hash"))
     labelled = found.join(ids, "uid")
     alone = F.col("node").isNull()
-    least = (
-        labelled.where(~alone).groupBy("component").agg(F.min(F.struct("uid", "doc_id")).alias("least"))
-    )
+    # As a table, so that the join below is split where one component has very many documents.
+    least = labelled.where(~alone).groupBy("component").agg(F.min(F.struct("uid", "doc_id")).alias("least"))
+    least = join.save(least, "least")
     result = labelled.join(least, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

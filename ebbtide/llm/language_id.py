@@ -35,7 +35,7 @@ REJECT_AT = 20.0
 FULL_TRUST = 400
 UNKNOWN = "und"
 #: Characters that are looked at together, unless one text has more.
-TEXT_AT_ONCE = 1 << 20
+TEXT_AT_ONCE = 1 << 19
 
 _PAD = "\x00" * (ORDER - 1)
 
