@@ -298,6 +298,10 @@ class SumTable(_SegmentedTable):
     def write(self, batch: int, deltas: DataFrame) -> None:
         self._write(Segment(batch, batch), self.spec.conform(deltas))
 
+    def batch(self, number: int) -> DataFrame:
+        """What one batch wrote, before it is folded with others."""
+        return self._rows([Segment(number, number)])
+
     def read(self, as_of: int | None = None) -> DataFrame:
         rows = self._merged(self.segments(as_of))
         return rows.where(F.col(self.counter) > 0) if self.positive_only else rows

@@ -19,7 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,17 @@ from ebbtide.streaming.parallel import adaptive, together
 JOIN_COLUMNS = {"lines": ("order_id", "goods_id"), "orders": ("order_id",), "products": ("goods_id",)}
 
 
+class Target(Protocol):
+    """A further place for a result, such as ``sinks.jdbc.JdbcUpsert``.
+
+    ``changes`` has one row for each key that a micro-batch touched, as the
+    result holds it now, or with ``_deleted`` true. A batch that runs again
+    writes the same rows again.
+    """
+
+    def write(self, changes: DataFrame, spec: TableSpec) -> None: ...
+
+
 @dataclass
 class Settings:
     """``ttl`` gives the idle time after which source rows leave the join state, as an
@@ -50,12 +62,16 @@ class Settings:
     ``topics`` names the topic of a table where it is not the table's own name,
     for example ``{"order_goods": "shop.public.order_goods"}``. A record of any
     other topic stops the job before anything of its batch is written.
+
+    ``targets`` gives results, by name, a second place to be written to. Running
+    totals arrive there as totals and not as their changes.
     """
 
     window: str = "10 seconds"
     window_on: str = "proc_time"
     ttl: Mapping[str, str] = field(default_factory=dict)
     topics: Mapping[str, str] = field(default_factory=dict)
+    targets: Mapping[str, Target] = field(default_factory=dict)
     fan_in: int = 8
     line_items: TableSpec = specs.ORDER_GOODS
     orders: TableSpec = specs.ORDER_INFO
@@ -217,25 +233,42 @@ class StatementSet:
         if sold is not None:
             sold = sold.persist()
             sums = views.category_sums(sold)
-            jobs.append(lambda: self.categories.write(number, self.categories.fold(sums)))
+            jobs.append(lambda: self._add(self.categories, number, self.categories.fold(sums)))
             found = keyed_changes(views.anomalies_among(sold), self.anomalies.spec)
-            jobs.append(lambda: self.anomalies.write(number, found, at))
+            jobs.append(lambda: self._upsert(self.anomalies, number, found, at))
         parts = _enriched_changes(sold, delta, old, new, ranges)
         if parts:
             rows = S.union(*parts)
-            jobs.append(lambda: self.enriched.write(number, keyed_changes(rows, self.enriched.spec), at))
+            jobs.append(lambda: self._upsert(self.enriched, number, keyed_changes(rows, self.enriched.spec), at))
         if "lines" in events:
             lines = changelog.signed(events["lines"])
             by_read = self.settings.window_on == "proc_time"
             time = F.col("proc_time") if by_read else F.timestamp_millis("ts_ms")
             windows = views.window_deltas(lines, time, self.settings.window)
-            jobs.append(lambda: self.windows.write(number, windows))
+            jobs.append(lambda: self._add(self.windows, number, windows))
         try:
             together(self.spark, *jobs)
         finally:
             if sold is not None:
                 sold.unpersist()
 
+    def _upsert(self, table: UpsertTable, number: int, changes: DataFrame, at: Column) -> None:
+        table.write(number, changes, at)
+        if target := self.settings.targets.get(table.spec.name):
+            target.write(changes, table.spec)
+
+    def _add(self, table: SumTable, number: int, deltas: DataFrame) -> None:
+        table.write(number, deltas)
+        if target := self.settings.targets.get(table.spec.name):
+            totals = views.published(table.read(number))
+            spec = TableSpec(table.spec.name, totals.schema, table.spec.key)
+            touched = table.batch(number).select(*[F.col(k).alias(f"_t_{k}") for k in spec.key]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in spec.key])
+            rows = touched.join(totals.withColumn("_there", F.lit(True)), same, "left").select(
+                *[F.col(f"_t_{k}").alias(k) for k in spec.key], *spec.values, F.col("_there").isNull().alias("_deleted")
+            )
+            target.write(rows.select(*spec.columns, "_deleted"), spec)
+
     # -- expiry
     def _deadline(self, name: str, at: Column) -> Column | None:
         idle = self.settings.ttl.get(self.state[name].spec.name)
