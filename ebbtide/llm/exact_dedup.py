@@ -21,6 +21,14 @@ FAN_IN_BITS = 3
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def _above() -> Column:
+    """Just above every identifier and row number, so that ``id * above + row`` orders rows by both.
+
+    As one decimal that is kept in place by hash aggregates, which a struct of two columns is not.
+    """
+    return F.lit(str(1 << 63)).cast("decimal(19,0)")
+
+
 def normalized(text: Column) -> Column:
     """The text with each run of white space as one space; null is empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
@@ -36,15 +44,23 @@ def merge_runs(runs: DataFrame, bits: int) -> DataFrame:
         runs.withColumn("run", F.shiftright("run", bits))
         .groupBy("run", "text_sha256")
         .agg(
-            F.min("least").alias("least"),
+            F.min("keep_id").alias("keep_id"),
+            F.min("place").alias("place"),
             F.sum("n").alias("n"),
-            F.min("proof").alias("proof"),
-            F.max("proof").alias("_other"),
+            *(f(c).alias(f"{c}_{name}") for c in ("bytes", "hash") for name, f in (("low", F.min), ("high", F.max))),
         )
     )
-    same = F.col("proof") == F.col("_other")
+    same = (F.col("bytes_low") == F.col("bytes_high")) & (F.col("hash_low") == F.col("hash_high"))
     checked = F.when(same, F.col("n")).otherwise(F.raise_error(F.lit("two texts share a digest")).cast("bigint"))
-    return merged.select("run", "text_sha256", "least", checked.alias("n"), "proof")
+    return merged.select(
+        "run",
+        "text_sha256",
+        "keep_id",
+        "place",
+        checked.alias("n"),
+        F.col("bytes_low").alias("bytes"),
+        F.col("hash_low").alias("hash"),
+    )
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -61,7 +77,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     docs.select(
         "doc_id",
         F.sha2(text.cast("binary"), 256).alias("text_sha256"),
-        F.struct(F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("hash")).alias("proof"),
+        F.octet_length(text).alias("bytes"),
+        F.xxhash64(text).alias("hash"),
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row"),
     ).write.parquet(f"{root}/digests")
@@ -70,19 +87,19 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     runs = digests.select(
         "run",
         "text_sha256",
-        F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row").alias("least"),
+        F.col("doc_id").alias("keep_id"),
+        (F.coalesce(F.col("doc_id").cast("decimal(19,0)"), _above()) * _above() + F.col("row")).alias("place"),
         F.lit(1).cast("bigint").alias("n"),
-        "proof",
+        "bytes",
+        "hash",
     )
     top = digests.agg(F.max("run")).first()[0] or 0
     runs = merge_runs(runs, 0)
     while top > 0:
         runs, top = merge_runs(runs, FAN_IN_BITS), top >> FAN_IN_BITS
+    kept_row = F.col("place") - F.coalesce(F.col("keep_id").cast("decimal(19,0)"), _above()) * _above()
     groups = runs.select(
-        "text_sha256",
-        F.col("least.doc_id").alias("keep_id"),
-        F.col("least.row").alias("_kept_row"),
-        F.col("n").alias("group_size"),
+        "text_sha256", "keep_id", kept_row.cast("bigint").alias("_kept_row"), F.col("n").alias("group_size")
     )
     return digests.join(groups, "text_sha256").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("_kept_row")).alias("kept"), "text_sha256"
