@@ -458,7 +458,8 @@ class Join:
                 .sortWithinPartitions("key")
                 .mapInArrow(_pairs(self.rule, all_pairs), "a bigint, b bigint, whole boolean")
                 .groupBy("a", "b")
-                .agg(F.max("whole").alias("whole"))
+                # A pair that stands for others in any group does so.
+                .agg(F.min("whole").alias("whole"))
             )
             return self.save(found, name)
 

@@ -88,6 +88,22 @@ def test_second_join_finds_what_a_false_pair_hid(spark, monkeypatch):
     check(spark, near(21, 90), J.Rule())
 
 
+def test_pair_of_a_small_and_a_large_group_hides_nothing(spark, monkeypatch):
+    """Two sets meet under a rare token and again as a false pair of a forest, behind which a true link lies."""
+
+    class Loose(J.Rule):
+        def may_be_similar(self, a, b, different):
+            return (a == a) & (different >= 0)
+
+    monkeypatch.setattr(J, "SMALL_GROUP", 2)
+    rows = []
+    for k in range(12):  # where the forest starts and where the rare token stands depends on hashes: in some it hides a link
+        shared = [f"c{k}{i}" for i in range(4)]
+        x, y = ([*shared, f"r{k}", *(f"{name}{k}{i}" for i in range(3))] for name in "xy")
+        rows += [(3 * k + j, " ".join(w), None) for j, w in enumerate((x, y, shared))]
+    check(spark, rows, Loose(1, 50, 100))
+
+
 def test_odd_rows(spark):
     check(spark, odd_rows(), J.Rule())
     assert J.similar_groups(empty(spark), J.Rule()).collect() == []
