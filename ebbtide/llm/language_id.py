@@ -31,6 +31,8 @@ CALIBRATE_ONE_IN = 5
 #: Standard deviations above a language's usual cross-entropy from which a text is rejected: texts that mix two
 #: known languages stay well below, letters in random order lie far above.
 REJECT_AT = 20.0
+#: Calibration texts from which a language is judged by its own alone.
+CALIBRATED = 20
 #: Characters beyond which a text's cross-entropy is not trusted more.
 FULL_TRUST = 400
 UNKNOWN = "und"
@@ -210,6 +212,42 @@ def _count_grams(batches):
     )
 
 
+def _characters(counted: pd.DataFrame) -> tuple[float, float]:
+    """Entropy of the single characters that n-grams with counts end in, and the variance of their code lengths."""
+    share = counted.groupby(counted["gram"].str[-1])["c"].sum().to_numpy().astype(float)
+    share /= share.sum()
+    bits = -np.log(share)
+    entropy = float((share * bits).sum())
+    return entropy, float((share * bits**2).sum()) - entropy**2
+
+
+def _calibrated(languages: list[str], stats: list, characters: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Usual cross-entropy of each language, and the deviation from it of a text of one character.
+
+    A language with few calibration texts of its own leans, the more the fewer,
+    on the entropy of its single characters, which a small model comes to at
+    worst; its deviation is that of the texts of all languages from their usual.
+    """
+
+    def moments(rows) -> tuple[int, float, float]:
+        """Texts, their usual cross-entropy, and the sum of squared deviations from it."""
+        n, weight, total, square = (sum(r[c] for r in rows) for c in ("n", "weight", "sum", "square"))
+        mean = total / weight if n else 0.0
+        return n, mean, max(0.0, square - weight * mean**2) if n else 0.0
+
+    of_all = [moments([r for r in stats if r["lang_pred"] == lang]) for lang in languages]
+    of_own = [moments([r for r in stats if r["lang_pred"] == lang and r["own"]]) for lang in languages]
+    squares, free = sum(m[2] for m in of_own), sum(max(0, m[0] - 1) for m in of_own)
+    usual, variance = np.zeros(len(languages)), np.zeros(len(languages))
+    for j, (n, mean, _) in enumerate(of_own):
+        if n >= CALIBRATED:
+            usual[j], variance[j] = of_all[j][1], of_all[j][2] / of_all[j][0]
+        else:
+            usual[j] = (n * mean + (CALIBRATED - n) * characters[j][0]) / CALIBRATED
+            variance[j] = (squares + CALIBRATED * characters[j][1]) / (free + CALIBRATED)
+    return usual, np.maximum(0.05, np.sqrt(variance))
+
+
 def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     """Models of the languages in ``docs`` (``doc_id, text, lang``); None if no text has a language.
 
@@ -242,27 +280,21 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     model = Model(
         languages, [h for h, _ in by_order], [v for _, v in by_order], [h for h, _ in by_context], [v for _, v in by_context]
     )
-    usual = np.zeros(len(languages))
-    spread = np.full(len(languages), np.inf)
-    checked = predict(sample.where("calibrates").withColumn("doc_id", F.lit(0)), model)
+    # The label goes along as the number, so that texts of other languages can be told from a language's own.
+    checked = predict(sample.where("calibrates").withColumn("doc_id", F.col("lang")), model)
     trust = F.least(F.col("n_chars"), F.lit(FULL_TRUST))
     stats = (
         checked.where("n_chars > 0")
-        .groupBy("lang_pred")
+        .groupBy("lang_pred", (F.col("doc_id") == F.col("lang_pred")).alias("own"))
         .agg(
-            (F.sum(F.col("cross_entropy") * trust) / F.sum(trust)).alias("usual"),
+            F.sum(F.col("cross_entropy") * trust).alias("sum"),
             F.sum(trust).alias("weight"),
             F.sum(trust * F.col("cross_entropy") ** 2).alias("square"),
             F.count(F.lit(1)).alias("n"),
         )
         .collect()
     )
-    for r in stats:
-        if r["n"] >= 20 and r["lang_pred"] in languages:
-            j = languages.index(r["lang_pred"])
-            usual[j] = r["usual"]
-            # Variance of sqrt(characters) * (cross-entropy - usual), a text of one character.
-            spread[j] = max(0.05, np.sqrt(max(0.0, r["square"] - r["weight"] * r["usual"] ** 2) / r["n"]))
+    usual, spread = _calibrated(languages, stats, [_characters(counted[counted["lang"] == lang]) for lang in languages])
     sample.unpersist()
     return Model(languages, model.grams, model.probabilities, model.contexts, model.weights, usual, spread)
 

@@ -46,6 +46,23 @@ def test_rejects_what_is_unlike_all(spark):
     assert kept.columns == odd.columns and [r["doc_id"] for r in kept.collect()] == [1001]
 
 
+CYRILLIC = "вот это письмо никто здесь никогда раньше не читал "
+
+
+def test_rejects_with_few_calibration_texts(spark):
+    """Languages of some texts, of one text, and texts that are unlike both."""
+    rng = random.Random(8)
+    rare = [" ".join("".join(rng.choice(["oka", "umi", "zet"]) for _ in range(3)) for _ in range(40)) for _ in range(6)]
+    rows = corpus(240) + [(i, t, "xx") for i, t in zip((5000, 5002, 5003), rare)] + [(6001, "ok", "typo")]
+    assert not any(held(i) for i in (5000, 5002, 5003, 6001))
+    odd = [(i, CYRILLIC * n, None) for i, n in enumerate((1, 2, 10, 40))]
+    asked = table(spark, odd + [(100 + i, t, None) for i, t in enumerate(rare)] + [(200, "Theand ertion", None)])
+    model = L.fit(table(spark, rows))
+    assert np.isfinite(model.spread).all()
+    got = {r["doc_id"]: r["rejected"] for r in L.predict(asked, model).collect()}
+    assert [i for i, rejected in sorted(got.items()) if rejected] == [i for i, _, _ in odd]
+
+
 def test_label_of_a_text_is_never_used(spark):
     rows = corpus(120)
     model = L.fit(table(spark, rows))
