@@ -6,6 +6,7 @@ from ebbtide.llm import (  # noqa: F401  (register their queries)
     exact_dedup,
     jaccard_join,
     language_id,
+    line_dedup,
     lm_score,
     pii,
     sharding,
