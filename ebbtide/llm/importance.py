@@ -10,6 +10,7 @@ which is sampling without replacement in proportion to the weights' exponentials
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from collections.abc import Iterator
@@ -230,8 +231,8 @@ def resampled(
         before[part] = total
         total += n
     drawn = percent * total // 100
-    # as an array: the parts are as many as tasks of the sort
-    firsts = F.array(*[F.lit(before.get(i, 0)) for i in range(max(before, default=0) + 1)]).cast("array<bigint>")
+    # as one array: there are as many parts as the sort has tasks
+    firsts = F.from_json(F.lit(json.dumps([before.get(i, 0) for i in range(max(before, default=0) + 1)])), "array<bigint>")
     rank = F.element_at(firsts, F.col("part").cast("int") + 1) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     ranked = ordered.withColumn("rank", F.when(rank <= drawn, rank)).select(*scored.columns, "rank")
     return ranked.unionByName(scored.where(~enough).withColumn("rank", F.lit(None).cast("bigint")))

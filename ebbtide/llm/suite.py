@@ -4,6 +4,7 @@ from ebbtide.llm import (  # noqa: F401  (register their queries)
     bpe,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     importance,
     jaccard_join,
     language_id,
