@@ -329,7 +329,13 @@ def _judged(model: Model | None, column: pa.Array) -> list[tuple]:
 
 
 def recognised(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` whose text is not rejected, with all their columns."""
+    """The rows of ``docs`` whose text is not rejected, with all their columns.
+
+    Without a model, as where no row has a label to learn from, nothing is known of languages and every text with a
+    letter stays. Null texts and those without letters go either way.
+    """
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
