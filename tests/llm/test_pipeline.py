@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from ebbtide.llm import language_id
 
@@ -68,3 +70,18 @@ def test_nothing(spark, tmp_path):
     assert P.run(spark, str(tmp_path)).collect() == []
 
 
+
+
+def test_clashing_names_repeated_rows_and_no_labels(spark, tmp_path):
+    spark.createDataFrame([(1, QUESTION)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    long = " ".join(f"word{i} and" for i in range(40))
+    rows = [(1, long, None, "b"), (1, long, None, "a"), (2, long + " more", None, "c"), (3, "quite another text " * 4, None, "d")]
+    schema = "doc_id long, text string, lang string, _number string"
+    names = ["_id", "_hash", "_digest", "_sha", "_Again", "_place", "first", "g"]
+    docs = spark.createDataFrame(rows, schema).select("*", *[F.lit("x").alias(n) for n in names])
+    kept = [stage(spark, docs, str(tmp_path)) for _, stage in P.STAGES[:4]]
+    assert all(k.columns == docs.columns for k in kept)
+    got = [sorted((r["doc_id"], r["_number"]) for r in k.collect()) for k in kept]
+    assert got[0] == got[3] == [(1, "a"), (1, "b"), (2, "c"), (3, "d")]  # no label: all stay; no leak: all stay
+    assert got[1] == [(1, "a"), (2, "c"), (3, "d")]
+    assert got[2] == [(1, "a"), (3, "d")]
