@@ -17,43 +17,76 @@ from ebbtide.session import work_dir
 NEAR = jaccard_join.Rule(words=5, over=80, under=100, sketch=2)
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of ``docs`` is called so, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def _first_of_repeated(rows: DataFrame, again: str, columns: list[str], by: list[str]) -> DataFrame:
+    """Rows that are not marked as repeated, and of those that are one for each value of ``by``: the first by all columns."""
+    (place,) = _free(rows, "_place")
+    first = Window.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_first() for c in columns])
+    repeated = rows.where(F.col(again)).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    return rows.where(~F.col(again)).select(columns).unionByName(repeated.select(columns))
+
+
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is known; those without letters or unlike all that was learned go."""
+    """Documents in a language that is known; those without letters or unlike all that was learned go.
+
+    Null and empty texts go. Without any label to learn from, all texts with a letter stay. Repeated rows are judged alike.
+    """
     return language_id.recognised(docs, language_id.fit(docs))
 
 
 def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose texts are equal but for white space: that with the smallest number.
 
-    Of rows with that number in the group, the first by text and other columns.
+    Null texts count as empty and are one group with blank ones. Of rows with the smallest number in the group, the first
+    by text and other columns stays. A group without any number keeps its first row.
     """
+    number, sha, again = _free(docs, "_number", "_sha", "_again")
     groups = exact_dedup.exact_groups(docs)
-    at = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("_sha") == F.col("text_sha256")]
     keepers = (
         groups.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .groupBy(F.col("doc_id").alias("_id"), "text_sha256")
-        .agg((F.count(F.lit(1)) > 1).alias("_again"))
+        .groupBy(F.col("doc_id").alias(number), F.col("text_sha256").alias("_text_sha"))
+        .agg((F.count(F.lit(1)) > 1).alias(again))
+        .select(number, F.col("_text_sha").alias(f"{sha}_k"), again)
     )
     text = exact_dedup.normalized(F.col("text"))
-    kept = docs.withColumn("_sha", F.sha2(text.cast("binary"), 256)).join(keepers, at)
-    first = Window.partitionBy("_id", "_sha").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
-    repeated = kept.where("_again").withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    return kept.where("NOT _again").select(docs.columns).unionByName(repeated.select(docs.columns))
+    kept = docs.withColumn(sha, F.sha2(text.cast("binary"), 256)).join(
+        keepers, [F.col("doc_id").eqNullSafe(F.col(number)), F.col(sha) == F.col(f"{sha}_k")]
+    )
+    return _first_of_repeated(kept, again, docs.columns, [number, sha])
 
 
 def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest number."""
-    groups = jaccard_join.similar_groups(docs, NEAR)
-    firsts = groups.where("first").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(firsts, same, "left_semi")
+    """One document of each group of near duplicates: that with the smallest number.
+
+    Texts without words are near nothing and stay. Of rows with equal number and text, the first by other columns stays.
+    """
+    number, digest, again = _free(docs, "_number", "_digest", "_again")
+    firsts = (
+        jaccard_join.similar_groups(docs, NEAR)
+        .where("first")
+        .groupBy(F.col("doc_id").alias(number), F.col("text_hash").alias(digest))
+        .agg((F.count(F.lit(1)) > 1).alias(again))
+    )
+    same = F.col("doc_id").eqNullSafe(F.col(number)) & (F.xxhash64("text") == F.col(digest))
+    return _first_of_repeated(docs.join(firsts, same), again, docs.columns, [number, digest])
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts stay; of repeated rows all go or all stay."""
+    number, digest = _free(docs, "_number", "_digest")
     found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    leaked = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    leaked = found.select(F.col("doc_id").alias(number), F.col("text_hash").alias(digest)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(number)) & (F.xxhash64("text") == F.col(digest))
     return docs.join(leaked, same, "left_anti")
 
 
