@@ -49,3 +49,17 @@ def verdict(windows: DataFrame, stale_after: int, now: Column | None = None) ->
         "verdict",
         F.when(age == "n/a", "empty").when(age.cast("bigint") > stale_after, "stale").otherwise("current"),
     )
+
+
+def job_verdict(jobs: DataFrame, windows: DataFrame, stale_after: int, now: Column | None = None) -> DataFrame:
+    """``verdict`` that knows the queries (``job_states``) as well, with the names of those that failed.
+
+    ``failed`` if any query has failed and ``stopped`` if none runs, before what the windows say.
+    """
+    counted = jobs.agg(
+        F.count_if(F.col("state") == "RUNNING").alias("running"),
+        F.sort_array(F.collect_list(F.when(F.col("state") == "FAILED", F.col("name")))).alias("failed"),
+    ).withColumn("_one", F.lit(1))
+    seen = verdict(windows, stale_after, now).withColumn("_one", F.lit(1))  # one row each
+    state = F.when(F.size("failed") > 0, "failed").when(F.col("running") == 0, "stopped").otherwise(F.col("verdict"))
+    return seen.join(counted, "_one").select("newest_window", "age_seconds", "running", "failed", state.alias("verdict"))
