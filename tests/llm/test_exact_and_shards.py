@@ -1,9 +1,12 @@
 import hashlib
-import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.llm import sharding
 from ebbtide.llm.exact_dedup import exact_groups
 from ebbtide.llm.sharding import communication_matrix, hypergeometric, shuffled_shards
 
@@ -52,30 +55,63 @@ def test_few_rows_and_none(spark):
     assert [r["slot"] for r in shuffled_shards(table(spark, [(1, "a", None)])).collect()] == [0]
 
 
-def test_matrix_has_both_sums():
-    counts, sizes = [10, 0, 7, 25], [11, 11, 10, 10]
-    m = communication_matrix(counts, sizes, 3)
-    assert [sum(r) for r in m] == counts
-    assert [sum(c) for c in zip(*m)] == sizes
-    assert min(min(r) for r in m) >= 0
+def test_matrix_has_both_sums(spark):
+    """Also where the tree has several levels and some partitions are without rows."""
+    for bits in (1, 2, 5):
+        counts = {0: 10, 2: 7, 3: 25, 9: 1, 41: 300}
+        sizes = [58, 57, 57, 57, 57, 57]
+        given = spark.createDataFrame(list(counts.items()), "part int, n bigint")
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(sharding, "FAN_OUT_BITS", bits)
+            got = {r["part"]: r["row"] for r in communication_matrix(given, sizes, 41, 3).collect()}
+        assert {p: sum(r) for p, r in got.items()} == counts
+        assert [sum(c) for c in zip(*got.values())] == sizes
+        assert min(min(r) for r in got.values()) >= 0
 
 
-def test_hypergeometric_law():
-    rng = random.Random(1)
-    n = 20_000
-    got = Counter(hypergeometric(rng, 6, 9, 5) for _ in range(n))
+def test_hypergeometric_law(spark):
     from math import comb
 
-    for k in range(6):
-        p = comb(6, k) * comb(9, 5 - k) / comb(15, 5)
-        assert abs(got[k] / n - p) < 4 * (p * (1 - p) / n) ** 0.5 + 1e-3
+    n = 20_000
+    for good, bad, draws in ((6, 9, 5), (3, 2, 4), (40, 1, 7), (0, 5, 3), (5, 0, 3), (4, 4, 0)):
+        take = hypergeometric(F.lit(good), F.lit(bad), F.lit(draws), sharding.uniform(F.lit(1), F.col("id")))
+        got = {r["k"]: r["n"] for r in spark.range(n).groupBy(take.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        for k in range(draws + 1):
+            p = comb(good, k) * comb(bad, draws - k) / comb(good + bad, draws) if k <= good and draws - k <= bad else 0
+            assert abs(got.get(k, 0) / n - p) < 4 * (p * (1 - p) / n) ** 0.5 + 1e-3
+        assert sum(got.values()) == n
+
+
+def test_large_draws(spark):
+    take = hypergeometric(F.lit(10**8), F.lit(23 * 10**8), F.lit(10**7), sharding.uniform(F.lit(2), F.col("id")))
+    got = [r["k"] for r in spark.range(30).select(take.alias("k")).collect()]
+    mean, deviation = 10**7 / 24, (10**7 / 24 * 23 / 24) ** 0.5
+    assert all(abs(k - mean) < 6 * deviation for k in got) and len(set(got)) > 25
+
+
+def test_repeated_rows_meet_all_shards(spark):
+    rows = [(7, "the same row", None)] * 240 + [(i, f"row {i}", None) for i in range(2400)]
+    got = shuffled_shards(table(spark, rows).repartition(3)).where("doc_id = 7 AND text_crc32 = " + str(zlib.crc32(b"the same row")))
+    met = Counter(r["shard"] for r in got.collect())
+    assert sum(met.values()) == 240 and len(met) == 24 and max(met.values()) <= 25
+
+
+def test_identifiers_as_text_and_no_python(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "x", 1), (None, None, 2), ("a", "x", 1)], "doc_id string, text string, shard int")
+    docs.write.parquet(str(tmp_path / "d"))
+    got = shuffled_shards(spark.read.parquet(str(tmp_path / "d")), shards=2)
+    assert sorted((r["doc_id"] or "", r["size"]) for r in got.collect()) == [("", 8), ("a", 9), ("a", 9)]
+    plan = got._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "ExistingRDD", "LogicalRDD"))
 
 
 def test_shuffle_is_uniform(spark):
-    """Over many seeds every row meets every shard about as often."""
-    docs = table(spark, [(i, str(i), None) for i in range(12)]).repartition(3).cache()
-    met = Counter()
-    for seed in range(40):
+    """Over some seeds rows of every partition meet every shard about as often, and no row always the same one."""
+    docs = table(spark, [(i, str(i), None) for i in range(36)]).repartition(3).cache()
+    met, of_row = Counter(), defaultdict(set)
+    for seed in range(10):
         for r in shuffled_shards(docs, shards=3, seed=seed).collect():
-            met[r["doc_id"], r["shard"]] += 1
-    assert all(4 <= met[i, s] <= 25 for i in range(12) for s in range(3))
+            met[r["doc_id"] % 4, r["shard"]] += 1
+            of_row[r["doc_id"]].add(r["shard"])
+    assert all(15 <= met[i, s] <= 45 for i in range(4) for s in range(3))
+    assert all(len(s) > 1 for s in of_row.values())
