@@ -215,6 +215,27 @@ def event_totals(spark: SparkSession, d: str) -> DataFrame:
     return rates.totals(R.table(spark, d, "events"), "event_type")
 
 
+DAYS = (1, 7, 30, 60, 90, 121)
+
+
+@query(
+    "shipping_latency",
+    f"""WITH t AS (SELECT l_returnflag, date_diff('second', o_orderdate, l_shipdate) AS took
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+k AS (SELECT l_returnflag, COUNT(took) AS n, CAST(COALESCE(SUM(took), 0) AS DOUBLE) AS seconds FROM t GROUP BY 1),
+b AS (SELECT CAST(unnest([{", ".join(str(n * 86400) for n in DAYS)}]) AS DOUBLE) AS le)
+SELECT l_returnflag, le, (SELECT COUNT(*) FROM t WHERE t.l_returnflag = k.l_returnflag AND took <= le) AS events, seconds
+FROM k CROSS JOIN b UNION ALL SELECT l_returnflag, NULL, n, seconds FROM k""",
+)
+def shipping_latency(spark: SparkSession, d: str) -> DataFrame:
+    """Seconds from order to shipment in buckets, for each return flag."""
+    lines = R.table(spark, d, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
+    orders = R.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    both = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    took = F.timestamp_diff("SECOND", F.col("o_orderdate"), F.col("l_shipdate"))
+    return rates.latencies(both, took, "l_returnflag", [n * 86400 for n in DAYS])
+
+
 # -- further analyses
 
 @query(
