@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from ebbtide import specs
 from ebbtide.session import work_dir
 from ebbtide.sinks.keyed import SumTable, UpsertTable, keyed_changes
-from ebbtide.sources import changelog, topics
+from ebbtide.sources import changelog, segments, topics
 from ebbtide.streaming.statement_set import Settings, StatementSet
 from ebbtide.operators import signed as S
 from ebbtide.plans import views
 from ebbtide.suite import retail as R
 from ebbtide.suite.changes import SIGNED_WINDOW_SQL
-from ebbtide.suite.registry import query
+from ebbtide.suite.registry import ORACLES, query
 from ebbtide.suite.relational import ANOMALY_SQL, CATEGORY_SQL, ENRICHED_SQL, rounded
 
 _runs: dict[tuple, StatementSet] = {}
@@ -192,3 +192,40 @@ def accumulated_category_revenue(spark: SparkSession, d: str) -> DataFrame:
         sink.write(period, views.category_deltas(changelog.signed(events), R.products(spark, d)))
         sink.compact(period - 1, fan_in=3)
     return rounded(views.published(sink.read()), "revenue")
+
+
+@query("events_from_segments", ORACLES["change_events_per_topic"])
+def events_from_segments(spark: SparkSession, d: str) -> DataFrame:
+    """The log, a segment for each period, read by a stream that stops half-way and goes on: no event is lost or read twice."""
+    log, root = R.log(spark, d), work_dir(spark, "segments")
+    key = F.coalesce(
+        *(
+            F.when(F.col("topic") == s.name, F.get_json_object("value", f"$.{image}.{s.key[0]}"))
+            for s in (R.LINES, R.ORDERS, R.PRODUCTS)
+            for image in ("after", "before")
+        )
+    )
+
+    def append(number: int, period: int) -> None:
+        changes = topics.file_changes(spark, f"{log.path}/period={period}", streaming=False)
+        segments.append_segment(changes, f"{root}/topics", key, 4, number)
+
+    def drain() -> None:
+        (
+            segments.segment_changes(spark, f"{root}/topics", "earliest")
+            .writeStream.format("parquet")
+            .option("path", f"{root}/read")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+    half = len(log.periods) // 2
+    for number, period in enumerate(log.periods):
+        if number == half:
+            drain()
+        append(number, period)
+    drain()
+    read = spark.read.schema(segments.SCHEMA).parquet(f"{root}/read")
+    return read.groupBy("topic", F.get_json_object("value", "$.op").alias("op")).agg(F.count(F.lit(1)).alias("events"))
