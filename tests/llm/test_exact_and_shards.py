@@ -3,10 +3,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import sharding
+from ebbtide.llm import exact_dedup, sharding
 from ebbtide.llm.exact_dedup import exact_groups
 from ebbtide.llm.sharding import communication_matrix, hypergeometric, shuffled_shards
 
@@ -115,3 +116,54 @@ def test_shuffle_is_uniform(spark):
             of_row[r["doc_id"]].add(r["shard"])
     assert all(15 <= met[i, s] <= 45 for i in range(4) for s in range(3))
     assert all(len(s) > 1 for s in of_row.values())
+
+
+def test_runs_are_sorted_and_merged_in_rounds(spark):
+    """A digest in every run, runs that are read in pieces, and each round's runs in order with every digest once."""
+    rows = [(run * 10 + i, f"t{(run * i) % 7}", run) for run in range(20) for i in range(10)] + [(None, "t1", 3)] * 5
+    given = spark.createDataFrame(rows, "doc_id bigint, t string, run int").select(
+        "run",
+        F.sha2("t", 256).alias("text_sha256"),
+        "doc_id",
+        F.monotonically_increasing_id().alias("row"),
+        F.length("t").alias("bytes"),
+        F.xxhash64("t").alias("hash"),
+    )
+    given = spark.createDataFrame(given.collect(), given.schema).repartition(6)
+    runs = exact_dedup.sorted_runs(given)
+    for bits in (3, 3):
+        runs = exact_dedup.merge_runs(runs, bits)
+        parts = runs.withColumn("task", F.spark_partition_id()).collect()
+        assert len({(r["run"], r["text_sha256"]) for r in parts}) == len(parts)
+        by_task = defaultdict(list)
+        for r in parts:
+            by_task[r["task"]].append((r["run"], r["text_sha256"]))
+        assert all(keys == sorted(keys) for keys in by_task.values())
+    want = defaultdict(list)
+    for i, t, _ in rows:
+        want[hashlib.sha256(t.encode()).hexdigest()].append(i)
+    got = {r["text_sha256"]: (r["keep_id"], r["n"]) for r in runs.collect()}
+    assert got == {d: (min(i for i in ids if i is not None), len(ids)) for d, ids in want.items()}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_entries_that_go_on_in_the_next_batch(size):
+    entries = [(0, "a", 1), (0, "a", 4), (0, "a", None), (0, "b", 2), (1, "b", 3), (1, "b", 5), (2, "c", None)]
+    batch = pa.RecordBatch.from_pylist(
+        [{"run": r, "text_sha256": d, "keep_id": i, "row": k, "n": 1, "bytes": 1, "hash": ord(d)} for k, (r, d, i) in enumerate(entries)]
+    )
+    parts = [batch.slice(a, size) for a in range(0, len(entries), size)]
+    got = [(r["run"], r["text_sha256"], r["keep_id"], r["n"]) for b in exact_dedup._merged(iter(parts)) for r in b.to_pylist()]
+    assert got == [(0, "a", 1, 3), (0, "b", 2, 1), (1, "b", 3, 2), (2, "c", None, 1)]
+
+
+def test_two_texts_of_one_digest_stop_the_job():
+    rows = [{"run": 0, "text_sha256": "d", "keep_id": k, "row": k, "n": 1, "bytes": 1 + k, "hash": 1} for k in range(2)]
+    with pytest.raises(ValueError, match="share a digest"):
+        list(exact_dedup._merged(iter([pa.RecordBatch.from_pylist(rows)])))
+
+
+def test_exact_groups_of_identifiers_as_text(spark):
+    docs = spark.createDataFrame([("b", "x  y"), ("a", "x y"), (None, "x\ty"), ("c", "z"), (None, None)], "doc_id string, text string")
+    got = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_groups(docs.repartition(3)).collect()}
+    assert got == {("b", "a", 3, False), ("a", "a", 3, True), (None, "a", 3, False), ("c", "c", 1, True), (None, None, 1, True)}
