@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.session import work_dir
 
@@ -170,23 +171,32 @@ def identified(docs: DataFrame, name: str) -> DataFrame:
     """``uid, doc_id, text, copies``: documents under a unique number that grows with ``doc_id``.
 
     A document is a pair of ``doc_id`` and text; ``copies`` counts equal rows.
-    Where ``doc_id`` is unique and not null it is the number itself.  Otherwise
-    the documents are numbered in a sorted table in the shared folder.
+    Where ``doc_id`` is a whole number, unique and not null it is the number
+    itself. Otherwise (nulls, repeated rows, identifiers of another type)
+    documents are numbered in the order of ``doc_id``, null first, and then of
+    a digest of the text. Only identifiers and digests are sorted; texts go once
+    to the number of their document.
     """
     spark = docs.sparkSession
     ids = docs.select("doc_id", "text")
-    twice = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    if twice.where("n > 1 OR doc_id IS NULL").isEmpty():
-        return ids.select(F.col("doc_id").cast("bigint").alias("uid"), "doc_id", "text", F.lit(1).alias("copies"))
+    if isinstance(docs.schema["doc_id"].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        twice = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+        if twice.where("n > 1 OR doc_id IS NULL").isEmpty():
+            return ids.select(F.col("doc_id").cast("bigint").alias("uid"), "doc_id", "text", F.lit(1).alias("copies"))
     path = work_dir(spark, name)
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("digest")
+    ids.select("doc_id", "text", digest, F.monotonically_increasing_id().alias("row")).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
     (
-        ids.groupBy("doc_id", "text")
-        .agg(F.count(F.lit(1)).cast("int").alias("copies"))
-        .orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-        .select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "copies")
-        .write.parquet(path)
+        rows.groupBy("doc_id", "digest")
+        .agg(F.count(F.lit(1)).cast("int").alias("copies"), F.min("row").alias("row"))
+        .orderBy(F.col("doc_id").asc_nulls_first(), F.col("digest").asc_nulls_first())
+        .select(F.monotonically_increasing_id().alias("uid"), "row", "copies")
+        .write.parquet(f"{path}/numbers")
     )
-    return spark.read.parquet(path)
+    numbers = spark.read.parquet(f"{path}/numbers")
+    rows.join(numbers, "row").select("uid", "doc_id", "text", "copies").write.parquet(f"{path}/documents")
+    return spark.read.parquet(f"{path}/documents")
 
 
 def as_rows(df: DataFrame) -> DataFrame:
