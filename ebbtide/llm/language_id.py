@@ -5,7 +5,8 @@ arrays of hashes, one for the n-grams and one for the contexts of each order;
 beside each hash stand the probabilities (or back-off weights) in all
 languages. A text gets the language with the lowest cross-entropy per
 character, and is rejected if that is far above what texts of that language
-have in a calibration set.
+have in a calibration set: beyond a cut that is set by the share of texts of
+known languages that may be rejected by mistake.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.registry import query, table
 from ebbtide.llm.texts import Rolling, mixed, small_batches
+from ebbtide.session import work_dir
 
 ORDER = 5
 #: Labelled texts of each language that a model is fitted on at most, chosen by a hash of their number.
 SAMPLE = 600
 #: One in so many of them calibrates and is not fitted on.
 CALIBRATE_ONE_IN = 5
-#: Standard deviations above a language's usual cross-entropy from which a text is rejected: texts that mix two
-#: known languages stay well below, letters in random order lie far above.
-REJECT_AT = 20.0
-#: Calibration texts from which a language is judged by its own alone.
-CALIBRATED = 20
+#: Share of the texts of known languages that may be rejected by mistake. The cut is where the tail of the calibration
+#: texts' deviations comes down to it.
+FALSE_REJECTIONS = 1e-5
+#: Share of the calibration texts that are the tail, and texts of one deviation each that are counted with it.
+TAIL, TAIL_BEFORE = 0.1, 4.0
+#: Calibration texts that what is known without any of them counts for.
+LEAN = 2.0
 #: Characters beyond which a text's cross-entropy is not trusted more.
 FULL_TRUST = 400
 UNKNOWN = "und"
@@ -77,6 +81,7 @@ class Model:
     weights: list[np.ndarray]  # 1 where the language lacks the context
     usual: np.ndarray | None = None  # cross-entropy of calibration texts, by language
     spread: np.ndarray | None = None
+    cut: float = np.inf  # deviations from which a text is rejected
 
     def log_probabilities(self, points: np.ndarray) -> np.ndarray:
         """Of the last character of each row of code points after those before it; a column for each language."""
@@ -172,24 +177,39 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """``lang, text, calibrates``: at most ``per_language`` labelled texts of each language, whole."""
+    """``lang, text, calibrates``: at most ``per_language`` labelled texts of each language, whole, as a table.
+
+    They are those of the least draws, by a hash of ``doc_id``. A row whose draw is beyond four times the share that
+    its language needs is left out at once, so a language brings few rows to the task that orders them.
+    """
+    spark = docs.sparkSession
+    path = work_dir(spark, "language-sample")
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    draw = F.xxhash64(F.lit(17), "doc_id")
+    usable = usable.select("lang", "doc_id", "text", F.xxhash64(F.lit(17), "doc_id").alias("draw"))
+    usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/languages")
+    share = spark.read.parquet(f"{path}/languages").select("lang", (F.lit(4.0 * per_language) / F.col("n")).alias("share"))
     first = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    ids = (
-        usable.select("lang", "doc_id", draw.alias("draw"))
+    (
+        usable.select("lang", "doc_id", "draw")
+        .join(share, "lang")
+        .where(F.col("draw") / F.lit(float(1 << 64)) + 0.5 <= F.col("share"))
+        .select("lang", "doc_id", "draw")
+        .distinct()
         .withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= per_language)
         .select("lang", "doc_id")
-        .distinct()
+        .write.parquet(f"{path}/chosen")
     )
-    # The numbers are few (languages times per_language), so they go to the texts; repeated rows are cut again.
-    texts = usable.select("lang", "doc_id", "text", draw.alias("draw")).join(F.broadcast(ids), ["lang", "doc_id"])
-    return (
-        texts.withColumn("place", F.row_number().over(first))
+    # A table of known size: Catalyst broadcasts it if it is small. Repeated rows are cut once more.
+    again = Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text"))
+    (
+        usable.join(spark.read.parquet(f"{path}/chosen"), ["lang", "doc_id"])
+        .withColumn("place", F.row_number().over(again))
         .where(F.col("place") <= per_language)
         .select("lang", "text", (F.col("place") % CALIBRATE_ONE_IN == 0).alias("calibrates"))
+        .write.parquet(f"{path}/texts")
     )
+    return spark.read.parquet(f"{path}/texts")
 
 
 def _count_grams(batches):
@@ -221,31 +241,35 @@ def _characters(counted: pd.DataFrame) -> tuple[float, float]:
     return entropy, float((share * bits**2).sum()) - entropy**2
 
 
-def _calibrated(languages: list[str], stats: list, characters: list[tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """Usual cross-entropy of each language, and the deviation from it of a text of one character.
+def _calibrated(
+    languages: list[str], checked: pd.DataFrame, characters: list[tuple[float, float]]
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Usual cross-entropy of each language, the deviation from it of a text of one character, and the cut.
 
-    A language with few calibration texts of its own leans, the more the fewer,
-    on the entropy of its single characters, which a small model comes to at
-    worst; its deviation is that of the texts of all languages from their usual.
+    ``checked`` has ``lang_pred, own, cross_entropy, n_chars`` of the calibration texts. A language leans, the more the
+    fewer texts of its own it has, on the entropy of its single characters, which a small model comes to at worst, and
+    on the deviation of the texts of all languages. The cut is set on all calibration texts, whatever their label: its
+    tail is taken as exponential beyond the largest tenth, down to a share of ``FALSE_REJECTIONS``.
     """
-
-    def moments(rows) -> tuple[int, float, float]:
-        """Texts, their usual cross-entropy, and the sum of squared deviations from it."""
-        n, weight, total, square = (sum(r[c] for r in rows) for c in ("n", "weight", "sum", "square"))
-        mean = total / weight if n else 0.0
-        return n, mean, max(0.0, square - weight * mean**2) if n else 0.0
-
-    of_all = [moments([r for r in stats if r["lang_pred"] == lang]) for lang in languages]
-    of_own = [moments([r for r in stats if r["lang_pred"] == lang and r["own"]]) for lang in languages]
-    squares, free = sum(m[2] for m in of_own), sum(max(0, m[0] - 1) for m in of_own)
-    usual, variance = np.zeros(len(languages)), np.zeros(len(languages))
-    for j, (n, mean, _) in enumerate(of_own):
-        if n >= CALIBRATED:
-            usual[j], variance[j] = of_all[j][1], of_all[j][2] / of_all[j][0]
-        else:
-            usual[j] = (n * mean + (CALIBRATED - n) * characters[j][0]) / CALIBRATED
-            variance[j] = (squares + CALIBRATED * characters[j][1]) / (free + CALIBRATED)
-    return usual, np.maximum(0.05, np.sqrt(variance))
+    trust = np.minimum(checked["n_chars"].to_numpy(float), FULL_TRUST)
+    entropy = checked["cross_entropy"].to_numpy(float)
+    chosen = np.searchsorted(languages, checked["lang_pred"].to_numpy(str)) if len(checked) else np.zeros(0, np.int64)
+    k = len(languages)
+    own = checked["own"].to_numpy(bool)
+    n = np.bincount(chosen[own], minlength=k).astype(float)
+    mean = np.bincount(chosen[own], trust[own] * entropy[own], k) / np.maximum(1, np.bincount(chosen[own], trust[own], k))
+    plain, plain_variance = (np.array([c[i] for c in characters]) for i in (0, 1))
+    usual = (n * mean + LEAN * plain) / (n + LEAN)
+    squares = np.bincount(chosen[own], trust[own] * (entropy[own] - mean[chosen[own]]) ** 2, k)
+    of_all = (squares.sum() + LEAN * plain_variance) / (np.maximum(0, n - 1).sum() + LEAN)
+    spread = np.maximum(0.05, np.sqrt((squares + LEAN * of_all) / (np.maximum(0, n - 1) + LEAN)))
+
+    far = np.sort((entropy - usual[chosen]) * np.sqrt(trust) / spread[chosen])[::-1]
+    tail = int(np.ceil(len(far) * TAIL))
+    start = max(0.0, far[tail]) if len(far) > tail else 0.0
+    slope = (np.maximum(0, far[:tail] - start).sum() + TAIL_BEFORE) / (tail + TAIL_BEFORE)
+    share = tail / len(far) if len(far) else 1.0
+    return usual, spread, float(start + slope * np.log(share / FALSE_REJECTIONS))
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
@@ -255,7 +279,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    sample = labelled_sample(docs, per_language).persist()
+    sample = labelled_sample(docs, per_language)
     counted = (
         sample.where("NOT calibrates")
         .select("lang", "text")
@@ -265,7 +289,6 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
         .toPandas()
     )
     if not len(counted):
-        sample.unpersist()
         return None
     languages = sorted(counted["lang"].unique())
     grams, weights = [], []
@@ -282,21 +305,13 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model | None:
     )
     # The label goes along as the number, so that texts of other languages can be told from a language's own.
     checked = predict(sample.where("calibrates").withColumn("doc_id", F.col("lang")), model)
-    trust = F.least(F.col("n_chars"), F.lit(FULL_TRUST))
-    stats = (
-        checked.where("n_chars > 0")
-        .groupBy("lang_pred", (F.col("doc_id") == F.col("lang_pred")).alias("own"))
-        .agg(
-            F.sum(F.col("cross_entropy") * trust).alias("sum"),
-            F.sum(trust).alias("weight"),
-            F.sum(trust * F.col("cross_entropy") ** 2).alias("square"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .collect()
+    # Four numbers of each calibration text, which are as bounded as the sample is.
+    texts = checked.where("n_chars > 0").select(
+        "lang_pred", (F.col("doc_id") == F.col("lang_pred")).alias("own"), "cross_entropy", "n_chars"
     )
-    usual, spread = _calibrated(languages, stats, [_characters(counted[counted["lang"] == lang]) for lang in languages])
-    sample.unpersist()
-    return Model(languages, model.grams, model.probabilities, model.contexts, model.weights, usual, spread)
+    characters = [_characters(counted[counted["lang"] == lang]) for lang in languages]
+    limits = _calibrated(languages, texts.toPandas(), characters)
+    return Model(languages, model.grams, model.probabilities, model.contexts, model.weights, *limits)
 
 
 def _judged(model: Model | None, column: pa.Array) -> list[tuple]:
@@ -318,7 +333,7 @@ def _judged(model: Model | None, column: pa.Array) -> list[tuple]:
         if model.usual is None:
             odd = np.zeros(j - i, bool)
         else:
-            odd = (low - model.usual[best]) * np.sqrt(np.minimum(n, FULL_TRUST)) > REJECT_AT * model.spread[best]
+            odd = (low - model.usual[best]) * np.sqrt(np.minimum(n, FULL_TRUST)) > model.cut * model.spread[best]
         for r in range(j - i):
             if letters[r]:
                 out.append((model.languages[best[r]], float(share[r]), float(low[r]), int(n[r]), bool(odd[r])))
