@@ -25,7 +25,7 @@ from ebbtide.llm.texts import small_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens whose ids a worker remembers; it starts anew beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 1 << 17
 #: Pre-tokens of a text that are held at once.
 PRETOKENS_AT_ONCE = 1 << 18
 
