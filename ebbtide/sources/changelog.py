@@ -86,11 +86,17 @@ def decode(raw: DataFrame, spec: TableSpec, value: str = "value") -> DataFrame:
     )
 
 
+def judged(raw: DataFrame, spec: TableSpec, value: str = "value") -> DataFrame:
+    """Raw events with a ``fault`` column, null for those that decode. Each is parsed once, as in ``decode``."""
+    event = F.from_json(F.col(value), _read_schema(spec), {"mode": "PERMISSIVE"})
+    parsed = raw.where(F.col(value).isNotNull()).select("*", F.explode(F.array(event)).alias("_event"))
+    return parsed.withColumn("fault", _fault(F.col("_event"), _position(F.col("_event"), raw))).drop("_event")
+
+
 def split_rejects(raw: DataFrame, spec: TableSpec, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(raw events that decode, rejected ones with a ``fault`` column)."""
-    event = F.from_json(F.col(value), _read_schema(spec), {"mode": "PERMISSIVE"})
-    judged = raw.where(F.col(value).isNotNull()).withColumn("fault", _fault(event, _position(event, raw)))
-    return judged.where(F.col("fault").isNull()).drop("fault"), judged.where(F.col("fault").isNotNull())
+    events = judged(raw, spec, value)
+    return events.where(F.col("fault").isNull()).drop("fault"), events.where(F.col("fault").isNotNull())
 
 
 def encode(events: DataFrame, spec: TableSpec, position: str = "seq") -> DataFrame:

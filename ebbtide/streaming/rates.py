@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.sources.changelog import split_rejects
+from ebbtide.sources.changelog import judged
 from ebbtide.specs import TableSpec
 
 #: Upper bounds of latency buckets in seconds.
@@ -46,6 +46,4 @@ def latencies(events: DataFrame, seconds: Column | str, by: str, buckets: Sequen
 
 def outcomes(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """``outcome, events`` of raw events (``value``): how many can be applied, and how many show which fault."""
-    good, bad = split_rejects(raw, spec)
-    named = good.select(F.lit("applied").alias("outcome")).unionByName(bad.select(F.col("fault").alias("outcome")))
-    return totals(named, "outcome")
+    return totals(judged(raw, spec).select(F.coalesce("fault", F.lit("applied")).alias("outcome")), "outcome")

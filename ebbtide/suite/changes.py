@@ -238,6 +238,6 @@ FROM lc WHERE NOT (op = 'u' AND w < 0) GROUP BY 1""",
 )
 def change_outcomes(spark: SparkSession, d: str) -> DataFrame:
     """Error counts of a log in which deletions carry an operation that nobody knows."""
-    raw = topics.file_changes(spark, R.log(spark, d).path, streaming=False).where(F.col("topic") == R.LINES.name)
+    raw = R.log(spark, d).changes().where(F.col("topic") == R.LINES.name)
     broken = raw.withColumn("value", F.replace("value", F.lit('"op":"d"'), F.lit('"op":"x"')))
     return rates.outcomes(broken, R.LINES)
