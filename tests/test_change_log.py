@@ -22,6 +22,7 @@ def tables(spark, tmp_path):
                 (1, 1, 1, 1, 2.0, 10.0, 0.1, 0.0, "N", "O", day(1996)),
                 (1, 2, 1, 2, 3.0, 10.0, 0.0, 0.2, "R", "F", day(1994)),
                 (2, None, 1, 1, 4.0, None, 0.1, 0.0, "A", "F", day(1995)),
+                (2, 1, 1, 2, 4.0, 9.0, 0.1, 0.0, "R", "F", None),  # never was in the log
             ],
         ),
         "orders": (
