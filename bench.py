@@ -59,7 +59,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    setup = timed(lambda: retail.log(spark, SF_DIR))
+    setup = timed(lambda: retail.log(spark, SF_DIR).path)
     seconds = {}
     for name in HEADLINE:
         run(QUERIES[name](spark, SF_DIR))
