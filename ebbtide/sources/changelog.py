@@ -205,6 +205,24 @@ def replay(events: DataFrame, spec: TableSpec) -> DataFrame:
     return last.where(F.col("_last.op") != DELETE).select("_last.after.*")
 
 
+def replay_by_key(events: DataFrame, spec: TableSpec) -> DataFrame:
+    """``replay`` whose rows stay where they were grouped, so that what compares them by key needs no exchange of its own.
+
+    The key is sent once, and not in the row again. A last event whose row has
+    lost the key of the row before fails the query: its row belongs elsewhere.
+    """
+    lost = F.lit(False)
+    for k in spec.key:
+        lost = lost | (F.col(f"after.{k}").isNull() & F.col(f"before.{k}").isNotNull())
+    last = F.struct(
+        (F.col("op") != DELETE).alias("there"), lost.alias("lost"), *[F.col(f"after.{c}").alias(f"_{c}") for c in spec.values]
+    )
+    found = events.groupBy(*_key(spec)).agg(F.max_by(last, "seq").alias("_last")).where("_last.there")
+    fault = F.raise_error(F.lit(f"{spec.name}: a row has lost the key of the row before")).cast("boolean")
+    found = found.where(F.when(F.col("_last.lost"), fault).otherwise(F.lit(True)))
+    return found.select(*[c if c in spec.key else F.col(f"_last._{c}").alias(c) for c in spec.columns])
+
+
 def _row(spec: TableSpec, side: str) -> Column:
     return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in spec.columns])
 

@@ -5,8 +5,9 @@ import datetime
 import pytest
 from conftest import rows
 
-from ebbtide.sources import topics
-from ebbtide.suite import changes, retail, streams
+from ebbtide.plans import quality
+from ebbtide.sources import changelog, topics
+from ebbtide.suite import changes, checks, retail, streams
 
 
 @pytest.fixture()
@@ -68,3 +69,32 @@ def test_totals_fed_by_periods_without_topic_files(spark, tables, monkeypatch):
 
     monkeypatch.setattr(retail, "work_dir", refuse)
     assert rows(streams.accumulated_category_revenue(spark, tables)) == [("t", 2, 16.2)]
+
+
+def test_differences_compare_where_rows_were_replayed(spark, tables):
+    found = checks.line_item_differences(spark, tables)
+    old, new = retail.LINES.conform(retail.lines(spark, tables)), changelog.replay(retail.decoded(spark, tables, retail.LINES), retail.LINES)
+    want = quality.differences(old, new).select("rec_id", "deal_price", "side", "surplus")
+    assert rows(found) == rows(want)
+    assert [r["surplus"] for r in found.where("side = 'left' AND deal_price = 4.5").collect()] == [2]  # of two lines with one key
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    plan = checks.line_item_differences(spark, tables)._jdf.queryExecution().explainString(mode)
+    assert "Exchange" not in plan[: plan.index("Union")]
+
+
+def test_replay_by_key(spark):
+    events = "before struct<{0}>, after struct<{0}>, op string, ts_ms long, seq long".format("goods_id long, goods_name string, brand string, category_level1 string, category_level2 string")
+    row = lambda key, name: (key, name, None, "c", None)
+    log = [
+        (None, row(1, "a"), "c", 0, 0),
+        (row(1, "a"), row(1, "b"), "u", 1, 1),
+        (None, row(2, None), "r", 0, 0),
+        (row(3, "x"), None, "d", 5, 5),
+        (None, row(3, "x"), "c", 2, 2),
+        (None, row(None, "n"), "c", 3, 3),
+    ]
+    df = spark.createDataFrame(log, events)
+    assert rows(changelog.replay_by_key(df, retail.PRODUCTS)) == rows(changelog.replay(df, retail.PRODUCTS)) == [row(1, "b"), row(2, None), row(None, "n")]
+    lost = spark.createDataFrame([(row(1, "a"), row(None, "a"), "u", 1, 1)], events)
+    with pytest.raises(Exception, match="lost the key"):
+        changelog.replay_by_key(lost, retail.PRODUCTS).collect()
