@@ -214,10 +214,11 @@ def replay_by_key(events: DataFrame, spec: TableSpec) -> DataFrame:
     lost = F.lit(False)
     for k in spec.key:
         lost = lost | (F.col(f"after.{k}").isNull() & F.col(f"before.{k}").isNotNull())
-    last = F.struct(
-        (F.col("op") != DELETE).alias("there"), lost.alias("lost"), *[F.col(f"after.{c}").alias(f"_{c}") for c in spec.values]
-    )
-    found = events.groupBy(*_key(spec)).agg(F.max_by(last, "seq").alias("_last")).where("_last.there")
+    there = F.col("op") != DELETE
+    state = F.struct(there.alias("there"), lost.alias("lost"), *[F.col(f"after.{c}").alias(f"_{c}") for c in spec.values])
+    # Narrow rows first: grouping within a task sorts what it is given.
+    narrow = events.select(*_key(spec), state.alias("_state"), F.col("seq").alias("_seq"))
+    found = narrow.groupBy(*spec.key).agg(F.max_by("_state", "_seq").alias("_last")).where("_last.there")
     fault = F.raise_error(F.lit(f"{spec.name}: a row has lost the key of the row before")).cast("boolean")
     found = found.where(F.when(F.col("_last.lost"), fault).otherwise(F.lit(True)))
     return found.select(*[c if c in spec.key else F.col(f"_last._{c}").alias(c) for c in spec.columns])
