@@ -151,15 +151,38 @@ def net_changes(events: DataFrame, spec: TableSpec, keep_unchanged: bool = False
     Keys whose rows end up as they began are dropped, unless ``keep_unchanged``:
     who keeps state needs them, as they may be new to it.  ``min_by`` and
     ``max_by`` combine within each task, so a key with very many events crosses
-    the shuffle once per task.
+    the shuffle once per task, and its rows without the key where it is theirs.
     """
     op = F.col("op")
-    before = F.when(op.isin(*REMOVES), F.col("before"))
-    after = F.when(op.isin(*ADDS), F.col("after"))
-    folded = events.groupBy(*_key(spec)).agg(
-        F.min_by(before, "seq").alias("before"), F.max_by(after, "seq").alias("after")
+    narrow = events.select(
+        *_key(spec),
+        F.when(op.isin(*REMOVES), _without_key(spec, "before")).alias("_before"),
+        F.when(op.isin(*ADDS), _without_key(spec, "after")).alias("_after"),
+        F.col("seq").alias("_seq"),
+    )
+    folded = narrow.groupBy(*spec.key).agg(
+        F.min_by("_before", "_seq").alias("_before"), F.max_by("_after", "_seq").alias("_after")
     )
-    return folded if keep_unchanged else changed(folded)
+    net = folded.select(*spec.key, _with_key(spec, "_before").alias("before"), _with_key(spec, "_after").alias("after"))
+    return net if keep_unchanged else changed(net)
+
+
+def _without_key(spec: TableSpec, side: str) -> Column:
+    """A row image for grouping by key: its values, and its own key only if that is not the key of its event."""
+    own = F.struct(*[F.col(f"{side}.{k}").alias(k) for k in spec.key])
+    event = F.struct(*_key(spec))
+    values = [F.col(f"{side}.{c}").alias(f"_{c}") for c in spec.values]
+    return F.when(F.col(side).isNotNull(), F.struct(*values, F.when(~own.eqNullSafe(event), own).alias("_own")))
+
+
+def _with_key(spec: TableSpec, image: str) -> Column:
+    """The row that ``_without_key`` took apart."""
+    own = F.col(f"{image}._own")
+    columns = [
+        F.when(own.isNull(), F.col(c)).otherwise(own[c]).alias(c) if c in spec.key else F.col(f"{image}._{c}").alias(c)
+        for c in spec.columns
+    ]
+    return F.when(F.col(image).isNotNull(), F.struct(*columns))
 
 
 def changed(net: DataFrame) -> DataFrame:

@@ -142,3 +142,37 @@ def test_scalar_functions(spark):
         or_text(F.col("n"), "n/a").alias("na"),
     ).first()
     assert tuple(r) == ("2024-01-01", "2024-01-01 00:00:00.123", 91, 5.0, "n/a")
+
+
+def test_net_changes_keep_the_keys_of_their_images(spark):
+    row = lambda key, v: line(key, 1, 1, v, None, 1)
+    log = Log().update(ORDER_GOODS, row(1, 1.0), row(2, 2.0))  # another key: an event of key 2
+    log.insert(ORDER_GOODS, row(None, 3.0)).delete(ORDER_GOODS, row(5, 1.0))
+    log.update(ORDER_GOODS, row(4, 1.0), row(None, 4.0)).update(ORDER_GOODS, row(None, 6.0), row(6, 6.0))
+    log.update(ORDER_GOODS, row(7, 7.0), row(7, 7.0))
+    events = topics.decode_topic(log.df(spark), ORDER_GOODS)
+    net = rows(changelog.net_changes(events, ORDER_GOODS, keep_unchanged=True))
+    image = lambda key, v: (key, 1, 1, v, None, 1)
+    assert net == sorted(
+        [
+            (2, image(1, 1.0), image(2, 2.0)),
+            (None, None, image(None, 3.0)),
+            (5, image(5, 1.0), None),
+            (4, image(4, 1.0), image(None, 4.0)),
+            (6, image(None, 6.0), image(6, 6.0)),
+            (7, image(7, 7.0), image(7, 7.0)),
+        ],
+        key=repr,
+    )
+    assert len(net) - 1 == changelog.net_changes(events, ORDER_GOODS).count()
+    assert changelog.net_changes(events, ORDER_GOODS).schema["before"].dataType.names == ORDER_GOODS.columns
+
+
+def test_net_changes_group_narrow_rows(spark):
+    events = topics.decode_topic(Log().insert(ORDER_GOODS, line(1, 1, 1, 1.0, 1.0, 1)).df(spark).repartition(3), ORDER_GOODS)
+    net = changelog.net_changes(events, ORDER_GOODS)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    text = net._jdf.queryExecution().explainString(mode)
+    # what a task sorts for grouping has neither the envelope nor the key in its images
+    sorted_rows = text[text.index("Sort [", text.index("Exchange hashpartitioning(rec_id")) :].split("\n")[1]
+    assert "Project [" in sorted_rows and "struct(_order_id" in sorted_rows and "struct(rec_id" not in sorted_rows.split("_own")[0]
