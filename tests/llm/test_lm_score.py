@@ -104,6 +104,21 @@ def test_tree_as_plain(monkeypatch):
     assert got == pytest.approx([plain(w[:3], w[3]) for w in wanted], abs=1e-5)
 
 
+@pytest.mark.parametrize("held", [1 << 18, 4, 0])
+def test_score_of_the_whole_tree(spark, monkeypatch, held):
+    """However few contexts the tasks hold, the score is that of all that was seen."""
+    monkeypatch.setattr(L, "GRAMS", held)
+    learned = [i for i in range(40) if trained(i)][:3]
+    apart = [i for i in range(40) if not trained(i)][:2]
+    texts = dict(zip([*learned, *apart], ["the cat sat on the mat", "a cat and a hat", "the end", "a hat that sat", "Zzq \u00e9 the"]))
+    got = {r["doc_id"]: r for r in L.score(table(spark, [(i, t, None) for i, t in texts.items()])).collect()}
+    plain = plain_tree([texts[i].encode() + b"\n" for i in learned], L.DEPTH)
+    for i, t in texts.items():
+        x = b"\n" * L.DEPTH + t.lower().encode() + b"\n"
+        want = sum(plain(x[k - L.DEPTH : k], x[k]) for k in range(L.DEPTH, len(x))) / math.log(10)
+        assert got[i]["score"] == pytest.approx(want, abs=1e-4) and got[i]["held_out"] == (i in apart)
+
+
 def test_probabilities_sum_to_one(monkeypatch):
     monkeypatch.setattr(L, "DEPTH", 2)
     codes = np.array([int.from_bytes(w) for w in (b"abc", b"abd", b"bcd", b"xab", b"abc")], np.uint64)
