@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.session import shuffles_removed
 from ebbtide.streaming.parallel import together
 
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -32,6 +33,8 @@ DEVIATION = 0.02
 DEVIATIONS = 6
 #: Sketches hold 2 to this many registers.
 SKETCH_BITS = 12
+#: Values that are grouped at once to see whether one of them repeats.
+VALUES_AT_ONCE = 1 << 24
 
 REFERENCE_COLUMNS = {
     "child_table": "STRING", "fk_column": "STRING", "parent_table": "STRING", "parent_column": "STRING",
@@ -75,25 +78,37 @@ def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, largest: i
         if size > 1 and wide:
             near = df.agg(*[F.approx_count_distinct(_row(s), DEVIATION).alias(str(i)) for i, s in enumerate(wide)]).first()
             wide = [s for i, s in enumerate(wide) if near[i] * slack >= n]
-        repeated = _repeated(df, wide)
+        repeated = _repeated(df, wide, n)
         keys += [s for i, s in enumerate(wide) if i not in repeated]
     return keys
 
 
-def _repeated(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> set[int]:
-    """Which of some sets of columns have a value that occurs twice: by 128 bits of it, in one job for all sets."""
-    if not sets:
-        return set()
-    values = [F.struct(F.lit(i).alias("i"), _row(s).alias("h1"), F.xxhash64(F.lit(1), *s).alias("h2")) for i, s in enumerate(sets)]
-    each = df.select(F.explode(F.array(*values)).alias("v")).select("v.*")
-    twice = each.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return {r["i"] for r in twice.select("i").distinct().collect()}
+def _repeated(df: DataFrame, sets: Sequence[tuple[str, ...]], n: int) -> set[int]:
+    """Which of some sets of columns have a value that occurs twice among ``n`` rows: by 128 bits of it.
+
+    Values are dealt over slices by their hash, so equal ones are in one slice, and about ``VALUES_AT_ONCE`` are grouped in
+    a job. A set that repeats a value in one slice is not looked at in the next; what is no key mostly does in the first.
+    """
+    slices, at = max(1, -(-n * len(sets) // VALUES_AT_ONCE)), 0
+    left = set(range(len(sets)))
+    while left and at < slices:
+        end = min(slices, at + max(1, slices * VALUES_AT_ONCE // max(1, n * len(left))))
+        values = [F.struct(F.lit(i).alias("i"), _row(sets[i]).alias("h1"), F.xxhash64(F.lit(1), *sets[i]).alias("h2")) for i in sorted(left)]
+        each = df.select(F.explode(F.array(*values)).alias("v")).select("v.*")
+        if slices > 1:
+            slice_ = F.pmod(F.col("h1"), F.lit(slices))
+            each = each.where((slice_ >= at) & (slice_ < end))
+        twice = each.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        left -= {r["i"] for r in twice.select("i").distinct().collect()}
+        at = end
+    return set(range(len(sets))) - left
 
 
 def discovered_keys(tables: Mapping[str, DataFrame], largest: int = 5) -> DataFrame:
     """``table_name, key_columns, n_columns``: the minimal keys of each table."""
     spark = next(iter(tables.values())).sparkSession
-    found = together(spark, *[lambda df=df: minimal_keys(df, largest=largest) for df in tables.values()])
+    with shuffles_removed(spark):
+        found = together(spark, *[lambda df=df: minimal_keys(df, largest=largest) for df in tables.values()])
     rows = [(name, ",".join(k), len(k)) for name, keys in zip(tables, found) for k in keys]
     return spark.createDataFrame(rows, KEY_SCHEMA)
 

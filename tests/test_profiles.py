@@ -76,6 +76,15 @@ def test_minimal_keys(spark, seed):
     assert discovery.minimal_keys(df.union(df), largest=3) == []
 
 
+def test_keys_in_slices(spark, monkeypatch):
+    """However few values are grouped at once, a value that repeats anywhere shows, and keys are found."""
+    rows = [(i, i % 40, i // 40, i if i != 77 else 76) for i in range(120)]
+    df = spark.createDataFrame(rows, "a INT, b INT, c INT, d INT")
+    for at_once in (7, 100, 1000):
+        monkeypatch.setattr(discovery, "VALUES_AT_ONCE", at_once)
+        assert set(discovery.minimal_keys(df, largest=2)) == {("a",), ("b", "c"), ("b", "d")}
+
+
 def test_references(spark):
     parent = spark.createDataFrame([(i, f"n{i}") for i in range(300)], "p_id long, p_name string")
     child = spark.createDataFrame([(i, i % 290 if i % 7 else None, f"n{i % 11}", i + 1) for i in range(5000)], "c_id int, fk_id int, fk_name string, near int")
