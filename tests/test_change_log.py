@@ -1,12 +1,14 @@
 """The change log that the suite derives from its tables, on rows of this test."""
 
 import datetime
+import pathlib
 
 import pytest
 from conftest import rows
 
 from ebbtide.plans import quality
 from ebbtide.sources import changelog, topics
+from ebbtide.streaming import statement_set
 from ebbtide.suite import changes, checks, retail, streams
 
 
@@ -98,3 +100,32 @@ def test_replay_by_key(spark):
     lost = spark.createDataFrame([(row(1, "a"), row(None, "a"), "u", 1, 1)], events)
     with pytest.raises(Exception, match="lost the key"):
         changelog.replay_by_key(lost, retail.PRODUCTS).collect()
+
+
+@pytest.mark.parametrize("name", ["streamed_revenue_resumed", "streamed_revenue_by_category"])
+def test_streams_keep_no_topic_files_they_have_read(spark, tables, monkeypatch, name):
+    made, appended = [], []
+    work_dir, append = streams.work_dir, retail.ChangeLog.append
+    monkeypatch.setattr(streams, "work_dir", lambda s, n: made.append(work_dir(s, n)) or made[-1])
+
+    def seen(log, path, period):
+        append(log, path, period)
+        appended.extend(p.name for p in pathlib.Path(path).rglob("part-*"))
+
+    monkeypatch.setattr(retail.ChangeLog, "append", seen)
+    assert rows(getattr(streams, name)(spark, tables)) == [("CLEARANCE", 1, 8.1)]  # the job holds one row of a key
+    assert appended and all(p.endswith(".gz") for p in appended)
+    assert not [p for d in made for p in pathlib.Path(d).rglob("topic=*")]
+
+
+def test_segments_are_fed_without_topic_files(spark, tables, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("topic files were written")
+
+    monkeypatch.setattr(retail, "work_dir", refuse)
+    monkeypatch.setattr(topics, "write_changes", refuse)
+    assert rows(streams.events_from_segments(spark, tables)) == rows(changes.change_events_per_topic(spark, tables))
+
+
+def test_caches_of_a_batch_take_no_disk():
+    assert statement_set.CACHED.useMemory and not statement_set.CACHED.useDisk
